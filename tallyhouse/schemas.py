@@ -20,8 +20,24 @@ LINE_MONEY = T.DecimalType(15, 2)
 SCORE = T.DecimalType(15, 4)
 
 
-def _table(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TYPES = {
+    "int": T.IntegerType(),
+    "smallint": T.ShortType(),
+    "bigint": T.LongType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampNTZType(),
+    "money": MONEY,
+    "line_money": LINE_MONEY,
+    "score": SCORE,
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """Schema from "name type" pairs; needs no session, unlike fromDDL."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 DIM_DATE = _table(
@@ -32,23 +48,23 @@ DIM_DATE = _table(
 
 DIM_CUSTOMER = _table(
     "customer_key bigint, customer_id string, country string,"
-    " effective_date timestamp_ntz, expiry_date timestamp_ntz, version_id int,"
-    " version_created_at timestamp_ntz, is_current boolean,"
-    " created_at timestamp_ntz, updated_at timestamp_ntz, data_source string"
+    " effective_date timestamp, expiry_date timestamp, version_id int,"
+    " version_created_at timestamp, is_current boolean,"
+    " created_at timestamp, updated_at timestamp, data_source string"
 )
 
 DIM_PRODUCT = _table(
     "product_key bigint, stock_code string, description string, version_id int,"
-    " version_created_at timestamp_ntz, category string, subcategory string,"
-    " is_active boolean, is_gift boolean, created_at timestamp_ntz,"
-    " updated_at timestamp_ntz, data_source string"
+    " version_created_at timestamp, category string, subcategory string,"
+    " is_active boolean, is_gift boolean, created_at timestamp,"
+    " updated_at timestamp, data_source string"
 )
 
 DATA_VERSIONS = _table(
     "version_id int, version_number string, version_type string,"
     " description string, source_file string, file_hash string,"
     " etl_job_id string, status string, records_count bigint,"
-    " created_at timestamp_ntz"
+    " created_at timestamp"
 )
 
 DIM_TRANSACTION_TYPE = _table(
@@ -60,34 +76,34 @@ DATA_LINEAGE = _table(
     " source_file string, target_table string, etl_job_name string,"
     " batch_id string, records_processed bigint, records_inserted bigint,"
     " records_updated bigint, records_rejected bigint,"
-    " start_time timestamp_ntz, end_time timestamp_ntz, duration_seconds int,"
+    " start_time timestamp, end_time timestamp, duration_seconds int,"
     " status string, error_message string, job_metadata string,"
-    " created_at timestamp_ntz"
+    " created_at timestamp"
 )
 
 DATA_QUALITY_METRICS = _table(
     "metric_id string, table_name string, column_name string,"
-    " metric_name string, metric_value decimal(15,4),"
-    " threshold_value decimal(15,4), is_threshold_met boolean,"
-    " batch_id string, measured_at timestamp_ntz, details string"
+    " metric_name string, metric_value score,"
+    " threshold_value score, is_threshold_met boolean,"
+    " batch_id string, measured_at timestamp, details string"
 )
 
 DATA_QUALITY_ALERTS = _table(
-    "alert_time timestamp_ntz, severity string, message string, metadata string"
+    "alert_time timestamp, severity string, message string, metadata string"
 )
 
 FACT_SALES = _table(
     "sales_key bigint, date_key int, version_id int,"
-    " version_created_at timestamp_ntz, customer_key bigint,"
+    " version_created_at timestamp, customer_key bigint,"
     " product_key bigint, invoice_no bigint, transaction_type string,"
-    " quantity int, unit_price decimal(10,2), line_total decimal(15,2),"
-    " transaction_datetime timestamp_ntz, created_at timestamp_ntz,"
+    " quantity int, unit_price money, line_total line_money,"
+    " transaction_datetime timestamp, created_at timestamp,"
     " batch_id string, data_source string, txn_year int"
 )
 
 FACT_SALES_ARCHIVE = _table(
     "sales_key bigint, operation string, version_id int,"
-    " changed_at timestamp_ntz, changed_by string, payload string"
+    " changed_at timestamp, changed_by string, payload string"
 )
 
 TABLES = {

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.schemas import RAW_COLUMNS
 
-# The data ends here once it is moved forward by fifteen years.
-SALES_AS_OF = "2016-11-05"
-LOADED_AT = "2016-11-05 00:00:00"
+# The last order is of 2016-08-01 once moved forward by fifteen years.
+SALES_AS_OF = "2016-08-02"
+LOADED_AT = "2016-08-02 00:00:00"
 EVENTS_AS_OF = "2024-01-31"
 _MONTHS_FORWARD = 15 * 12
 
