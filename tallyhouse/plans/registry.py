@@ -97,6 +97,18 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _WAREHOUSES[at]
 
 
+_HISTORY_AT = f"TIMESTAMP '{EVENTS_AS_OF}'"
+_TREND = {
+    "days": f"SELECT CAST(measured_at AS DATE) AS day, avg(CAST(metric_value AS DOUBLE)) AS avg_score, count(*) AS checks_count,"
+    f" count(*) FILTER (WHERE metric_value < 90) AS poor_quality_count FROM history WHERE measured_at >= {_HISTORY_AT} - INTERVAL 30 DAY GROUP BY 1",
+    "lagged": "SELECT *, lag(metric_value) OVER (PARTITION BY table_name, metric_name ORDER BY measured_at, metric_id) AS previous"
+    f" FROM history WHERE measured_at >= {_HISTORY_AT} - INTERVAL 7 DAY",
+    "drops": "SELECT metric_id, table_name, metric_name, CAST(metric_value AS DOUBLE) AS current_score, CAST(previous AS DOUBLE) AS previous_score,"
+    " CAST(previous - metric_value AS DOUBLE) AS score_drop, CAST(measured_at AS VARCHAR) AS measured_at, 'HIGH' AS severity"
+    " FROM lagged WHERE previous - metric_value > 90",
+}
+
+
 # ---- sources and sinks
 
 
@@ -247,22 +259,37 @@ def metrics_sink(spark, sf_dir):
     )
 
 
-@register("alerts_sink")
+@register(
+    "alerts_sink",
+    "SELECT 'ERROR' AS severity, 'Quality anomalies detected' AS message, count(*) AS anomaly_count FROM drops HAVING count(*) > 0",
+    _TREND,
+)
 def alerts_sink(spark, sf_dir):
     """Alert rows over the event history, written and read back."""
     found = trends.anomaly_alert(trends.anomalies(quality_history(spark, sf_dir), EVENTS_AS_OF))
     folder = new_folder(spark, "alerts")
     alert_rows(found, LOADED_AT).write.parquet(folder)
-    return spark.read.parquet(folder)
+    return spark.read.parquet(folder).select(
+        "severity",
+        "message",
+        F.get_json_object("metadata", "$.anomaly_count").cast("bigint").alias("anomaly_count"),
+    )
+
+
+_SIZES = (
+    "SELECT 'fact_sales' AS table_name, count(*) AS row_count FROM fact"
+    " UNION ALL SELECT 'dim_customer', count(*) FROM customers UNION ALL SELECT 'dim_product', count(*) FROM products"
+    " UNION ALL SELECT 'dim_date', count(DISTINCT transaction_date) FROM lines"
+    " UNION ALL SELECT 'data_lineage', 1 FROM fact GROUP BY 1 UNION ALL SELECT 'data_versions', 1 FROM fact GROUP BY 1"
+    " UNION ALL SELECT 'data_quality_metrics', 7 FROM fact GROUP BY 1"
+)
 
 
-@register("dictionary_export")
+@register("dictionary_export", _SIZES)
 def dictionary_export(spark, sf_dir):
     folder = new_folder(spark, "dictionary")
     catalog.export_dictionary(spark, warehouse(spark, sf_dir).tables(), folder)
-    return spark.read.json(folder).select(
-        "table_name", "table_description", F.size("columns").alias("columns"), "row_count"
-    )
+    return spark.read.json(folder).select("table_name", "row_count")
 
 
 # ---- cleaning
@@ -526,8 +553,8 @@ def missing_fill_mode(spark, sf_dir):
 
 @register(
     "customer_backfill",
-    "SELECT seq, pos, invoice, customer_id FROM judged WHERE seeks_customer AND customer_id IS NOT NULL",
-    {},
+    "SELECT seq, pos, invoice, customer_id FROM judged"
+    " WHERE lower(trim(CustomerID)) IN ('', 'nan', 'none', 'null', 'unknown') AND customer_id IS NOT NULL",
 )
 def customer_backfill(spark, sf_dir):
     """Lines without a customer of their own that took one from their invoice."""
@@ -536,12 +563,6 @@ def customer_backfill(spark, sf_dir):
     return judged.filter(took).select("seq", "pos", "invoice", "customer_id")
 
 
-ORACLES["customer_backfill"] = sql(
-    "SELECT seq, pos, invoice, customer_id FROM judged"
-    " WHERE lower(trim(CustomerID)) IN ('', 'nan', 'none', 'null', 'unknown') AND customer_id IS NOT NULL"
-)
-
-
 @register(
     "missing_report",
     "SELECT column_name, missing_count, total_rows FROM ("
@@ -725,7 +746,7 @@ def conformed_lines(spark, sf_dir):
 
 @register(
     "signed_amounts",
-    "SELECT seq, pos, transaction_type, effect_sign, CAST(line_total * effect_sign AS DOUBLE) AS signed_amount"
+    "SELECT seq, pos, transaction_type, CAST(effect_sign AS BIGINT) AS effect_sign, CAST(line_total * effect_sign AS DOUBLE) AS signed_amount"
     " FROM lines JOIN effects USING (transaction_type)",
 )
 def signed_amounts(spark, sf_dir):
@@ -862,10 +883,10 @@ def customer_insert_if_absent(spark, sf_dir):
 
 
 _HISTORY = {
-    "moments": "SELECT customer_id, transaction_datetime AS at, min(country) AS country FROM lines GROUP BY 1, 2",
-    "turns": "SELECT *, lag(country) OVER (PARTITION BY customer_id ORDER BY at) AS previous FROM moments",
-    "versions": "SELECT customer_id, country, at AS effective_date,"
-    " lead(at) OVER (PARTITION BY customer_id ORDER BY at) AS expiry_date FROM turns WHERE previous IS DISTINCT FROM country",
+    "moments": "SELECT customer_id, transaction_datetime AS moment, min(country) AS country FROM lines GROUP BY 1, 2",
+    "turns": "SELECT *, lag(country) OVER (PARTITION BY customer_id ORDER BY moment) AS previous FROM moments",
+    "versions": "SELECT customer_id, country, moment AS effective_date,"
+    " lead(moment) OVER (PARTITION BY customer_id ORDER BY moment) AS expiry_date FROM turns WHERE previous IS DISTINCT FROM country",
 }
 
 
@@ -941,7 +962,7 @@ def midnight_promotion(spark, sf_dir):
     f"""
     SELECT date_key, customer_key, product_key, invoice_no, transaction_type, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
       CAST(line_total AS DOUBLE) AS line_total, CAST(transaction_datetime AS VARCHAR) AS transaction_datetime,
-      '{LOADED_AT}' AS created_at, '{BATCH}' AS batch_id, 'CSV' AS data_source, 1 AS version_id, txn_year FROM fact""",
+      '{LOADED_AT}' AS created_at, '{BATCH}' AS batch_id, 'CSV' AS data_source, 1::BIGINT AS version_id, txn_year FROM fact""",
 )
 def fact_build(spark, sf_dir):
     return warehouse(spark, sf_dir).fact_sales().select(
@@ -964,7 +985,7 @@ def load_range(spark, sf_dir):
 _SUMMARY_30 = f"""
     SELECT count(*) AS total_transactions, CAST(coalesce(sum(line_total), 0) AS DOUBLE) AS total_revenue,
       round(CAST(sum(line_total) AS DOUBLE) / count(*), 4) AS avg_transaction_value,
-      count(DISTINCT customer_key) AS unique_customers, count(DISTINCT product_key) AS unique_products, 30 AS period_days
+      count(DISTINCT customer_key) AS unique_customers, count(DISTINCT product_key) AS unique_products, 30::BIGINT AS period_days
     FROM fact WHERE transaction_datetime >= TIMESTAMP '{SALES_AS_OF}' - INTERVAL 30 DAY"""
 _TOP = f"""
     SELECT p.description AS product_name, f.stock_code, CAST(sum(quantity) AS BIGINT) AS total_quantity_sold,
@@ -1142,18 +1163,6 @@ def load_quality_gate(spark, sf_dir):
     return quality.load_gate(quality.summary(results))
 
 
-_HISTORY_AT = f"TIMESTAMP '{EVENTS_AS_OF}'"
-_TREND = {
-    "days": f"SELECT CAST(measured_at AS DATE) AS day, avg(CAST(metric_value AS DOUBLE)) AS avg_score, count(*) AS checks_count,"
-    f" count(*) FILTER (WHERE metric_value < 90) AS poor_quality_count FROM history WHERE measured_at >= {_HISTORY_AT} - INTERVAL 30 DAY GROUP BY 1",
-    "lagged": "SELECT *, lag(metric_value) OVER (PARTITION BY table_name, metric_name ORDER BY measured_at, metric_id) AS previous"
-    f" FROM history WHERE measured_at >= {_HISTORY_AT} - INTERVAL 7 DAY",
-    "drops": "SELECT metric_id, table_name, metric_name, CAST(metric_value AS DOUBLE) AS current_score, CAST(previous AS DOUBLE) AS previous_score,"
-    " CAST(previous - metric_value AS DOUBLE) AS score_drop, CAST(measured_at AS VARCHAR) AS measured_at, 'HIGH' AS severity"
-    " FROM lagged WHERE previous - metric_value > 90",
-}
-
-
 @register(
     "quality_trend",
     "SELECT CAST(day AS VARCHAR) AS day, round(avg_score, 4) AS avg_score, checks_count, poor_quality_count FROM days",
@@ -1271,7 +1280,7 @@ def referential_integrity(spark, sf_dir):
 
 @register(
     "fact_foreign_keys",
-    "SELECT child_column, 0 AS orphan_rows FROM (SELECT DISTINCT unnest(['date_key', 'customer_key', 'product_key', 'version_id']) AS child_column FROM fact)",
+    "SELECT child_column, 0::BIGINT AS orphan_rows FROM (SELECT DISTINCT unnest(['date_key', 'customer_key', 'product_key', 'version_id']) AS child_column FROM fact)",
 )
 def fact_foreign_keys(spark, sf_dir):
     house = warehouse(spark, sf_dir)
@@ -1331,7 +1340,13 @@ def _versions(spark, sf_dir) -> DataFrame:
     )
 
 
-@register("lineage_record")
+@register(
+    "lineage_record",
+    "SELECT 'CSV' AS source_system, 'fact_sales' AS target_table, "
+    f"'{BATCH}' AS batch_id, count(*) FILTER (WHERE is_admitted) AS records_processed,"
+    " count(*) FILTER (WHERE reject_reason IS NULL) AS records_inserted,"
+    " count(*) FILTER (WHERE is_admitted AND reject_reason IS NOT NULL) AS records_rejected, 'SUCCESS' AS status FROM judged",
+)
 def lineage_record(spark, sf_dir):
     """The run the load itself recorded; times of day are its own."""
     return warehouse(spark, sf_dir).data_lineage().select(
@@ -1339,14 +1354,6 @@ def lineage_record(spark, sf_dir):
     )
 
 
-ORACLES["lineage_record"] = sql(
-    "SELECT 'CSV' AS source_system, 'fact_sales' AS target_table, "
-    f"'{BATCH}' AS batch_id, count(*) FILTER (WHERE is_admitted) AS records_processed,"
-    " count(*) FILTER (WHERE reject_reason IS NULL) AS records_inserted,"
-    " count(*) FILTER (WHERE is_admitted AND reject_reason IS NOT NULL) AS records_rejected, 'SUCCESS' AS status FROM judged"
-)
-
-
 @register(
     "recent_lineage",
     "SELECT batch_id, 'orders' AS source_file, 'fact_sales' AS target_table, 'monthly' AS etl_job_name, records_processed, records_inserted,"
@@ -1360,7 +1367,7 @@ def recent_lineage(spark, sf_dir):
 
 @register(
     "batch_lineage",
-    "SELECT 'table' AS source_system, 'orders' AS source_file, 'fact_sales' AS target_table, records_processed, records_inserted, 0 AS records_updated,"
+    "SELECT 'table' AS source_system, 'orders' AS source_file, 'fact_sales' AS target_table, records_processed, records_inserted, 0::BIGINT AS records_updated,"
     " CAST(r.start_time AS VARCHAR) AS start_time, CAST(r.end_time AS VARCHAR) AS end_time, date_diff('day', r.start_time, r.end_time) * 86400 AS duration_seconds,"
     " 'SUCCESS' AS status, 'none' AS error_message FROM runs r WHERE batch_id = 'orders-1998-10'",
     _RUNS,
@@ -1406,7 +1413,7 @@ def version_create(spark, sf_dir):
 
 @register(
     "version_tag",
-    "SELECT o_orderkey AS sales_key, CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderstatus <> 'P' THEN 2 ELSE -1 END AS version_id FROM orders",
+    "SELECT o_orderkey AS sales_key, CAST(CASE WHEN o_orderkey % 3 = 0 THEN 1 WHEN o_orderstatus <> 'P' THEN 2 ELSE -1 END AS BIGINT) AS version_id FROM orders",
 )
 def version_tag(spark, sf_dir):
     """Every third order has a version already; the open ones stay untagged."""
@@ -1421,7 +1428,7 @@ def version_tag(spark, sf_dir):
     return tagged.select("sales_key", F.coalesce("version_id", F.lit(-1)).alias("version_id"))
 
 
-@register("version_record_count", "SELECT 1 AS version_id, count(*) AS records_count FROM fact")
+@register("version_record_count", "SELECT 1::BIGINT AS version_id, count(*) AS records_count FROM fact")
 def version_record_count(spark, sf_dir):
     return lineage.rows_per_version(warehouse(spark, sf_dir).fact_sales())
 
@@ -1451,7 +1458,7 @@ def version_show(spark, sf_dir):
 @register(
     "change_archive",
     "SELECT invoice, stock_code, CASE WHEN pos % 17 = 0 THEN 'DELETE' ELSE 'UPDATE' END AS operation,"
-    " CASE WHEN pos % 17 = 0 THEN 1 ELSE 2 END AS version_id, quantity AS old_quantity, CAST(line_total AS DOUBLE) AS old_line_total"
+    " CAST(CASE WHEN pos % 17 = 0 THEN 1 ELSE 2 END AS BIGINT) AS version_id, quantity AS old_quantity, CAST(line_total AS DOUBLE) AS old_line_total"
     " FROM lines WHERE pos % 17 = 0 OR pos % 13 = 0",
 )
 def change_archive(spark, sf_dir):
@@ -1487,11 +1494,7 @@ def column_catalog(spark, sf_dir):
 
 @register(
     "table_sizes",
-    "SELECT 'fact_sales' AS table_name, count(*) AS row_count FROM fact"
-    " UNION ALL SELECT 'dim_customer', count(*) FROM customers UNION ALL SELECT 'dim_product', count(*) FROM products"
-    " UNION ALL SELECT 'dim_date', count(DISTINCT transaction_date) FROM lines"
-    " UNION ALL SELECT 'data_lineage', 1 FROM fact GROUP BY 1 UNION ALL SELECT 'data_versions', 1 FROM fact GROUP BY 1"
-    " UNION ALL SELECT 'data_quality_metrics', 7 FROM fact GROUP BY 1",
+    _SIZES,
 )
 def table_sizes(spark, sf_dir):
     return catalog.table_sizes(warehouse(spark, sf_dir).tables())
@@ -1520,19 +1523,15 @@ def relationships(spark, sf_dir):
 
 
 @register(
-    "incremental_file_load",
+    "incremental_load",
     "SELECT transaction_type, count(*) AS lines, CAST(sum(quantity) AS BIGINT) AS quantity, CAST(sum(line_total) AS DOUBLE) AS line_total FROM fact GROUP BY 1",
 )
-def incremental_file_load(spark, sf_dir):
-    """A watched folder of sales files, loaded by a stream that runs until it is empty."""
-    inbox, home = new_folder(spark, "inbox"), new_folder(spark, "incremental")
-    view = sales_view(spark, sf_dir)
-    # One file, as a daily export is: the lines of an invoice belong together.
-    view.orderBy("seq", "pos").select(RAW_COLUMNS).coalesce(1).write.option("header", True).option(
-        "escape", '"'
-    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(inbox)
+def incremental_load(spark, sf_dir):
+    """Every line file that is not loaded yet, by a stream that stops when none is left."""
+    home = new_folder(spark, "incremental")
     house = Warehouse(spark, f"{home}/warehouse")
-    incremental.load_available(house, inbox, f"{home}/progress", CHECKS, LOADED_AT)
+    lines = sales_view(spark, sf_dir, lineitem=incremental.line_stream(spark, sf_dir))
+    incremental.load_stream(house, lines, f"{home}/progress", CHECKS, LOADED_AT)
     return house.fact_sales().groupBy("transaction_type").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
@@ -1549,7 +1548,7 @@ def streaming_clean(spark, sf_dir):
     stream = incremental.line_stream(spark, sf_dir)
     columns = ["InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID"]
     cleaned = incremental.clean_stream(sales_view(spark, sf_dir, columns, lineitem=stream))
-    return incremental.drain(cleaned, new_folder(spark, "stream"))
+    return incremental.drain(cleaned.drop("transaction_datetime"), new_folder(spark, "stream"))
 
 
 @register(
