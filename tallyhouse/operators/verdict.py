@@ -145,22 +145,24 @@ def _settle_hot(rows: DataFrame, hot_rows: int) -> DataFrame:
     return rows.join(filled.select("_group", "pos", "_fill"), ["_group", "pos"], "left")
 
 
-def oversized_invoices(lines: DataFrame, hot_rows: int) -> DataFrame:
-    """Invoices of more than `hot_rows` lines, with their size and positions.
+def oversized_invoices(lines: DataFrame, hot_rows: int) -> DataFrame | None:
+    """Invoices of more than `hot_rows` lines, with size and range of positions.
 
-    Reads two columns and combines before the shuffle. The result cannot have
-    more than total rows / hot_rows rows.
+    Counts one column and combines before the shuffle; None, without a second
+    look, if no invoice is that large. The result cannot have more than total
+    rows / hot_rows rows. It is stored, so that all who use it see the same.
     """
-    return (
-        lines.select(cleaning.clean_invoice_no(F.col("InvoiceNo")).alias("_group"), "pos")
-        .groupBy("_group")
-        .agg(
-            F.count(F.lit(1)).alias("_lines"),
-            F.min("pos").alias("_begin"),
-            F.max("pos").alias("_last"),
-        )
-        .filter((F.col("_lines") > hot_rows) & (F.col("_group") != ""))
-    )
+    invoice = cleaning.clean_invoice_no(F.col("InvoiceNo"))
+    grouped = lines.select(invoice.alias("_group"), "pos").groupBy("_group")
+    large = (F.col("_lines") > hot_rows) & (F.col("_group") != "")
+    lines_of = F.count(F.lit(1)).alias("_lines")
+    if grouped.agg(lines_of).filter(large).isEmpty():
+        return None
+    sized = grouped.agg(lines_of, F.min("pos").alias("_begin"), F.max("pos").alias("_last"))
+    spark = lines.sparkSession
+    kept = new_folder(spark, "oversized")
+    sized.filter(large).write.parquet(kept)
+    return spark.read.schema(sized.schema).parquet(kept)
 
 
 def judge(
@@ -177,13 +179,7 @@ def judge(
     plan get their path; pass `invoice_scan` where a narrower source of
     `InvoiceNo` and `pos` exists.
     """
-    spark = raw.sparkSession
     hot = oversized_invoices(raw if invoice_scan is None else invoice_scan, hot_rows)
-    kept = new_folder(spark, "oversized")
-    hot.write.parquet(kept)
-    hot = spark.read.schema(hot.schema).parquet(kept)
-    any_hot = not hot.isEmpty()
-    hot = F.broadcast(hot)
     invoice = cleaning.clean_invoice_no(F.col("InvoiceNo"))
     is_hot = invoice == F.col("_group")
 
@@ -191,14 +187,14 @@ def judge(
     scattered = F.concat(F.lit("\x01"), F.pmod("row_id", F.lit(_SCATTER)).cast("string"))
     group = F.when(invoice != "", invoice).otherwise(scattered)
     # The split is made on the raw lines, so that it only reads the invoice.
-    whole = raw.join(hot, is_hot, "left_anti") if any_hot else raw
+    whole = raw if hot is None else raw.join(F.broadcast(hot), is_hot, "left_anti")
     # Raw text is what the quarantine needs, so it has to cross the network;
     # typed columns do not, and are made on the far side.
     settled = _settle_whole(
         with_checks(whole.withColumn("_group", group).repartition("_group"), checks)
     )
-    if any_hot:
-        split = _settle_hot(with_checks(raw.join(hot, is_hot), checks), hot_rows)
+    if hot is not None:
+        split = _settle_hot(with_checks(raw.join(F.broadcast(hot), is_hot), checks), hot_rows)
         settled = settled.unionByName(split.select(settled.columns))
     customer = F.coalesce("_own", F.when(F.col("_seeks"), F.col("_fill")))
     reason = (

@@ -13,6 +13,7 @@ and a batch that is already in the log is not loaded again.
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -188,15 +189,22 @@ class Warehouse:
         return counts
 
     def _write_dimensions(self, lines: DataFrame, home: str, loaded_at: str, source: str) -> None:
-        dimensions.insert_absent_dates(self.dim_date(), lines).write.parquet(f"{home}/dim_date")
+        """The three dimensions need nothing of each other, so they are written at once."""
         products = dimensions.product_attributes(lines)
-        dimensions.upsert_products(self.dim_product(), products, loaded_at, source).write.parquet(
-            f"{home}/dim_product"
-        )
         customers = dimensions.customer_attributes(lines)
-        dimensions.insert_absent_customers(
-            self.dim_customer(), customers, loaded_at, source
-        ).write.parquet(f"{home}/dim_customer")
+        frames = {
+            "dim_date": dimensions.insert_absent_dates(self.dim_date(), lines),
+            "dim_product": dimensions.upsert_products(
+                self.dim_product(), products, loaded_at, source
+            ),
+            "dim_customer": dimensions.insert_absent_customers(
+                self.dim_customer(), customers, loaded_at, source
+            ),
+        }
+        with ThreadPoolExecutor(len(frames)) as pool:
+            writes = [pool.submit(df.write.parquet, f"{home}/{n}") for n, df in frames.items()]
+            for write in writes:
+                write.result()
 
     def _write_records(
         self, home, judged, loaded, counts, load_no, batch_id, loaded_at, started, job_name, source, source_file

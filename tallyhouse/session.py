@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 WORK_DIR_KEY = "spark.checkpoint.dir"
 
@@ -15,9 +15,25 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # Split a skewed join even where the split costs one more exchange.
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    # The JVM never compiles a method of more than 8000 bytes. Long cleaning
+    # expressions in one fused method would run interpreted; beyond this size
+    # Spark leaves the operators apart and splits their code into small methods.
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for a scan too small to fill them; leave any other as it is.
+
+    The test of size is the number of tasks the scan gets, so whatever is
+    shuffled here is less than one task per core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
+
+
 def work_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 

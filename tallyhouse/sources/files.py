@@ -4,7 +4,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.validation import passes_gate
-from tallyhouse.schemas import RAW, RAW_COLUMNS
+from tallyhouse.schemas import RAW_COLUMNS
+
+PROVENANCE = ["batch_id", "data_source", "created_at"]
 
 
 def read_csv(
@@ -12,18 +14,28 @@ def read_csv(
     path: str | list[str],
     delimiter: str = ",",
     encoding: str = "utf-8",
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Every field as text, in file order; empty fields read as NULL."""
-    raw = (
-        spark.read.schema(RAW)
-        .option("header", True)
+    """Every field as text, in file order; empty fields read as NULL.
+
+    Columns are found by their names in the header. One that is absent is NULL
+    throughout, so its lines fail the gate. `multi_line` allows line breaks in
+    quoted fields, at the price that a file is no longer split between tasks.
+    """
+    found = (
+        spark.read.option("header", True)
         .option("sep", delimiter)
         .option("encoding", encoding)
         .option("escape", '"')
-        .option("mode", "PERMISSIVE")
+        .option("multiLine", multi_line)
         .csv(path)
     )
-    return in_order(raw)
+    columns = [
+        F.col(c) if c in found.columns else F.lit(None).cast("string").alias(c)
+        for c in RAW_COLUMNS
+    ]
+    given = [c for c in PROVENANCE if c in found.columns]
+    return in_order(found.select(*columns, *given))
 
 
 def from_table(df: DataFrame) -> DataFrame:
@@ -51,7 +63,10 @@ def stamp(
     }
 
     def kept(name: str, value: Column) -> Column:
-        return F.coalesce(F.col(name), value) if name in raw.columns else value
+        if name not in raw.columns:
+            return value
+        kind = "timestamp_ntz" if name == "created_at" else "string"
+        return F.coalesce(F.col(name).try_cast(kind), value)
 
     return raw.withColumns({name: kept(name, value) for name, value in values.items()})
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.schemas import RAW_COLUMNS
+from tallyhouse.session import spread
 
 # The last order is of 2016-08-01 once moved forward by fifteen years.
 SALES_AS_OF = "2016-08-02"
@@ -59,7 +60,7 @@ def sales_view(
     streaming = lineitem is not None and lineitem.isStreaming
     lines = table(spark, sf_dir, "lineitem") if lineitem is None else lineitem
     number = F.lit(0).cast("bigint") if streaming else F.monotonically_increasing_id()
-    lines = lines.withColumn("row_id", number)
+    lines = spread(lines.withColumn("row_id", number), "row_id")
 
     order, part = F.col("l_orderkey"), F.col("l_partkey")
     dirt = order * 7 + part * 3 + F.col("l_linenumber")
