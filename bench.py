@@ -1,8 +1,10 @@
 """Time the headline queries; prints one JSON line.
 
 Reads $BENCH_SF_DIR (default /root/testdata/sf0.1) on local[$BENCH_CPUS]. The
-first entry is the whole load, from raw text to the finished star schema; the
-queries after it read what the load wrote, or the raw view where they say so.
+sales lines are first written as delimited text, which is not timed: that file
+is what a load is given. `load` is the whole way from that text to the finished
+star schema. Queries on the warehouse read what it wrote; those on raw lines
+make the text anew from the tables, which is part of their time.
 """
 
 import json
@@ -55,12 +57,21 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     from tallyhouse.plans import registry
+    from tallyhouse.plans.warehouse import Warehouse
+    from tallyhouse.session import new_folder
+    from tallyhouse.sources.files import read_csv
+
+    registry.tune(spark)
+    text = new_folder(spark, "csv")
+    registry.write_text(registry.sales_view(spark, SF_DIR), text)
 
     seconds = {}
     begun = time.perf_counter()
-    house = registry.warehouse(registry.tune(spark), SF_DIR)
+    house = Warehouse(spark, new_folder(spark, "warehouse"))
+    house.load(read_csv(spark, text), registry.CHECKS, registry.BATCH, registry.LOADED_AT)
     seconds["load"] = time.perf_counter() - begun
-    lines = house.data_lineage().first().records_processed
+    lines = house.judged().count()
+    registry.use_warehouse(spark, SF_DIR, house)
     for name in QUERIES:
         begun = time.perf_counter()
         registry.QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()

@@ -42,16 +42,19 @@ def clean_quantity(c: Column) -> Column:
     """Whole number, cut toward zero; 0 where the text holds none.
 
     Letters are dropped first, so 1e5 reads as 15. A number outside the integer
-    range cannot be stored and also becomes 0.
+    range cannot be stored and also becomes 0. Plain integers, nearly all there
+    are, need no pattern.
     """
     kept = F.regexp_replace(c, r"[^\d\-\.]", "")
-    return F.coalesce(kept.try_cast("double").try_cast("int"), F.lit(0))
+    return F.coalesce(c.try_cast("int"), kept.try_cast("double").try_cast("int"), F.lit(0))
 
 
 def clean_unit_price(c: Column) -> Column:
     """Absolute price in cents, half to even; 0.00 where the text holds none."""
-    bare = F.regexp_replace(strip(c), r"(?U)[£$€\s,]", "")
-    cents = F.bround(F.abs(bare.try_cast(_EXACT)), 2)
+    plain = strip(c)
+    bare = F.regexp_replace(plain, r"(?U)[£$€\s,]", "")
+    exact = F.coalesce(plain.try_cast(_EXACT), bare.try_cast(_EXACT))
+    cents = F.bround(F.abs(exact), 2)
     return F.coalesce(cents.try_cast(MONEY), F.lit(0).cast(MONEY))
 
 
@@ -114,10 +117,15 @@ def _layout(c: Column, pattern: str, parts: str) -> Column:
     return F.when(c.rlike(pattern), text.try_cast("timestamp_ntz"))
 
 
+# Text in one of these forms is cast as it stands.
+_CASTABLE = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?$"
+
+
 def clean_date(c: Column) -> Column:
     """First layout that yields a real date; NULL where none does."""
     bare = strip(c)
-    return F.coalesce(*[_layout(bare, p, parts) for p, parts in DATE_LAYOUTS])
+    direct = F.when(bare.rlike(_CASTABLE), bare.try_cast("timestamp_ntz"))
+    return F.coalesce(direct, *[_layout(bare, p, parts) for p, parts in DATE_LAYOUTS])
 
 
 def fill_unknown(c: Column) -> Column:

@@ -19,7 +19,10 @@ _NUMBER = r"(?i)^[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf(inity)?|nan)$"
 
 
 def is_number(c: Column) -> Column:
-    return F.coalesce(strip(c).rlike(_NUMBER), F.lit(False))
+    """A decimal cast settles the common case; the pattern decides the rest."""
+    plain = strip(c)
+    decimal = plain.try_cast("decimal(38,18)").isNotNull()
+    return decimal | F.coalesce(plain.rlike(_NUMBER), F.lit(False))
 
 
 def passes_gate() -> Column:

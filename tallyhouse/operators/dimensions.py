@@ -151,9 +151,10 @@ def insert_absent_customers(
     return _typed(existing, DIM_CUSTOMER).unionByName(added)
 
 
-def insert_absent_dates(existing: DataFrame, lines: DataFrame) -> DataFrame:
+def insert_absent_dates(existing: DataFrame, days: DataFrame) -> DataFrame:
+    """Add days the dimension does not hold yet; `days` comes from date_dimension."""
     known = existing.select("date_key")
-    added = date_dimension(lines).join(known, "date_key", "left_anti")
+    added = days.join(known, "date_key", "left_anti")
     return _typed(existing, DIM_DATE).unionByName(_typed(added, DIM_DATE))
 
 

@@ -109,6 +109,23 @@ _TREND = {
 }
 
 
+def use_warehouse(spark: SparkSession, sf_dir: str, house: Warehouse) -> None:
+    """Answer the queries on a data folder from a warehouse that is already there."""
+    _WAREHOUSES[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))] = house
+
+
+def write_text(raw: DataFrame, folder: str) -> None:
+    """Raw lines as delimited text, white space kept as it is."""
+    (
+        raw.select(RAW_COLUMNS)
+        .write.option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(folder)
+    )
+
+
 # ---- sources and sinks
 
 
@@ -148,9 +165,7 @@ def ingest_metrics(spark, sf_dir):
 def csv_scan(spark, sf_dir):
     """Write the sales view as delimited text and scan it."""
     folder = new_folder(spark, "csv")
-    sales_view(spark, sf_dir).select(RAW_COLUMNS).write.option("header", True).option(
-        "escape", '"'
-    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    write_text(sales_view(spark, sf_dir), folder)
     names = ["invoice_no", "stock_code", "description", "quantity", "invoice_date", "unit_price", "customer_id", "country"]
     scanned = files.read_csv(spark, folder)
     return scanned.select([F.col(c).alias(n) for c, n in zip(RAW_COLUMNS, names)])

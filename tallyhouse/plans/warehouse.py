@@ -13,8 +13,10 @@ and a batch that is already in the log is not loaded again.
 
 import json
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -173,15 +175,22 @@ class Warehouse:
         )
         loaded = fact.read(self.spark, f"{home}/fact_sales")
 
-        totals = verdict.summary(judged).first()
+        results = metric_rows(quality.check(loaded, "fact_sales"), batch_id, loaded_at)
+        good = judged.filter(F.col("verdict") == ACCEPTED)
+        totals, inserted, print_, _ = _at_once(
+            verdict.summary(judged).first,
+            loaded.count,
+            self.spark.range(1).select(lineage.fingerprint(good, RAW_COLUMNS).alias("h")).first,
+            lambda: results.write.parquet(f"{home}/data_quality_metrics"),
+        )
         counts = {
             "records_processed": totals.total_records,
             "records_cleaned": totals.records_cleaned,
-            "records_inserted": loaded.count(),
+            "records_inserted": inserted,
             "records_rejected": totals.records_rejected,
         }
         self._write_records(
-            home, judged, loaded, counts, load_no, batch_id, loaded_at, started, job_name, source, source_file
+            home, counts, load_no, batch_id, loaded_at, started, job_name, source, source_file, print_.h
         )
         self.spark.createDataFrame(
             [(load_no, batch_id, folder, _moment(loaded_at))], _LOG
@@ -189,59 +198,61 @@ class Warehouse:
         return counts
 
     def _write_dimensions(self, lines: DataFrame, home: str, loaded_at: str, source: str) -> None:
-        """The three dimensions need nothing of each other, so they are written at once."""
-        products = dimensions.product_attributes(lines)
-        customers = dimensions.customer_attributes(lines)
+        """Members first, keys second.
+
+        Assigning keys reads the members more than once, so what the lines say
+        about them is worked out and stored before. None of the three
+        dimensions needs another, so they are written side by side.
+        """
+        members = {
+            "dim_date": dimensions.date_dimension(lines),
+            "dim_product": dimensions.product_attributes(lines),
+            "dim_customer": dimensions.customer_attributes(lines),
+        }
+        _at_once(
+            *[partial(df.write.parquet, f"{home}/members/{n}") for n, df in members.items()]
+        )
+        found = {n: self.spark.read.parquet(f"{home}/members/{n}") for n in members}
         frames = {
-            "dim_date": dimensions.insert_absent_dates(self.dim_date(), lines),
+            "dim_date": dimensions.insert_absent_dates(self.dim_date(), found["dim_date"]),
             "dim_product": dimensions.upsert_products(
-                self.dim_product(), products, loaded_at, source
+                self.dim_product(), found["dim_product"], loaded_at, source
             ),
             "dim_customer": dimensions.insert_absent_customers(
-                self.dim_customer(), customers, loaded_at, source
+                self.dim_customer(), found["dim_customer"], loaded_at, source
             ),
         }
-        with ThreadPoolExecutor(len(frames)) as pool:
-            writes = [pool.submit(df.write.parquet, f"{home}/{n}") for n, df in frames.items()]
-            for write in writes:
-                write.result()
+        _at_once(*[partial(df.write.parquet, f"{home}/{n}") for n, df in frames.items()])
 
     def _write_records(
-        self, home, judged, loaded, counts, load_no, batch_id, loaded_at, started, job_name, source, source_file
+        self, home, counts, load_no, batch_id, loaded_at, started, job_name, source, source_file, file_hash
     ) -> None:
-        """Quality, alert, version and lineage rows of one load; a handful each."""
-        spark = self.spark
-        results = quality.check(loaded, "fact_sales")
-        metric_rows(results, batch_id, loaded_at).write.parquet(f"{home}/data_quality_metrics")
-        scored = spark.read.schema(schemas.DATA_QUALITY_METRICS).parquet(f"{home}/data_quality_metrics")
-        gate = quality.load_gate(quality.summary(scored)).first()
-        alert_rows(quality.score_alerts(quality.summary(scored)), loaded_at).write.parquet(
-            f"{home}/data_quality_alerts"
+        """Alert, version and lineage rows of one load; a handful each."""
+        spark, at = self.spark, _moment(loaded_at)
+        scored = spark.read.schema(schemas.DATA_QUALITY_METRICS).parquet(
+            f"{home}/data_quality_metrics"
         )
-        found = judged.filter(F.col("reject_reason").isNull())
-        at = F.lit(loaded_at).cast("timestamp_ntz")
-        version = spark.range(1).select(
-            F.lit(load_no).alias("version_id"),
-            lineage.version_number(at).alias("version_number"),
-            F.lit("INCREMENTAL").alias("version_type"),
-            F.lit(f"ETL load from {source_file or 'pipeline'}").alias("description"),
-            F.lit(source_file).cast("string").alias("source_file"),
-            lineage.fingerprint(found, RAW_COLUMNS).alias("file_hash"),
-            F.lit(job_name).alias("etl_job_id"),
-            F.lit("ACTIVE").alias("status"),
-            F.lit(counts["records_inserted"]).cast("bigint").alias("records_count"),
-            at.alias("created_at"),
-        )
-        version.write.parquet(f"{home}/data_versions")
+        total = quality.summary(scored)
+        gate = quality.load_gate(total).first()
+        version = (
+            load_no, f"v{at:%Y%m%d_%H%M%S}", "INCREMENTAL", f"ETL load from {source_file or 'pipeline'}",
+            source_file, file_hash, job_name, "ACTIVE", counts["records_inserted"], at,
+        )
         ended = _now()
         run = (
             uuid.uuid4().hex, source, "raw_sales", source_file, "fact_sales", job_name, batch_id,
             counts["records_processed"], counts["records_inserted"], 0, counts["records_rejected"],
             started, ended, int((ended - started).total_seconds()), "SUCCESS", None,
-            json.dumps({"overall_score": gate.overall_score, "warning": gate.warning}),
-            _moment(loaded_at),
+            json.dumps({"overall_score": gate.overall_score, "warning": gate.warning}), at,
         )
-        spark.createDataFrame([run], schemas.DATA_LINEAGE).write.parquet(f"{home}/data_lineage")
+        frames = {
+            "data_quality_alerts": alert_rows(quality.score_alerts(total), loaded_at),
+            "data_versions": spark.createDataFrame([version], schemas.DATA_VERSIONS),
+            "data_lineage": spark.createDataFrame([run], schemas.DATA_LINEAGE),
+        }
+        _at_once(
+            *[partial(df.coalesce(1).write.parquet, f"{home}/{n}") for n, df in frames.items()]
+        )
 
     def summarise(self, as_of: str, path: str) -> None:
         """Store the business summaries for a day; readers then skip the fact table."""
@@ -311,6 +322,12 @@ def check_table(
     }
 
 
+def _at_once(*jobs: Callable) -> list:
+    """Run independent Spark jobs side by side and wait for all of them."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [running.result() for running in [pool.submit(job) for job in jobs]]
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
