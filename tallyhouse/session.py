@@ -22,16 +22,35 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+# Above this many tasks per shuffle, bookkeeping costs more than spilling does.
+_MOST_PARTITIONS = 100_000
+
+
+def fit_shuffles(scan: DataFrame) -> int:
+    """Start shuffles with enough partitions for the input; returns its tasks.
+
+    Scan tasks have a fixed size in bytes, so their number is the measure of
+    the input. Adaptive execution only ever merges partitions, so it has to
+    start from many; small inputs keep the configured number.
+    """
+    spark = scan.sparkSession
+    tasks = scan.rdd.getNumPartitions()
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(configured, min(2 * tasks, _MOST_PARTITIONS))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
+    return tasks
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
     """Use all cores for a scan too small to fill them; leave any other as it is.
 
     The test of size is the number of tasks the scan gets, so whatever is
     shuffled here is less than one task per core.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores, key) if fit_shuffles(scan) < cores else scan
 
 
 def work_dir(spark: SparkSession) -> str:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.validation import passes_gate
 from tallyhouse.schemas import RAW_COLUMNS
+from tallyhouse.session import fit_shuffles
 
 PROVENANCE = ["batch_id", "data_source", "created_at"]
 
@@ -30,6 +31,7 @@ def read_csv(
         .option("multiLine", multi_line)
         .csv(path)
     )
+    fit_shuffles(found)
     columns = [
         F.col(c) if c in found.columns else F.lit(None).cast("string").alias(c)
         for c in RAW_COLUMNS
