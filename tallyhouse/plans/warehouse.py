@@ -134,7 +134,7 @@ class Warehouse:
         checks: verdict.Checks,
         batch_id: str,
         loaded_at: str,
-        job_name: str = "retail_csv_import",
+        job_name: str = "sales_import",
         source: str = "CSV",
         source_file: str | None = None,
         invoice_scan: DataFrame | None = None,
