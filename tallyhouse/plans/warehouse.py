@@ -102,11 +102,7 @@ class Warehouse:
 
     def judged(self) -> DataFrame:
         """Every raw line of every load; `verdict` is a folder level."""
-        parts = [self.spark.read.parquet(f"{f}/judged") for f in self._folders()]
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
-        return whole
+        return self._all("judged", schemas.JUDGED)
 
     def lines(self) -> DataFrame:
         """Accepted lines in conformed shape; reads one folder level only."""
@@ -155,7 +151,7 @@ class Warehouse:
         judged.withColumn("verdict", F.coalesce("reject_reason", F.lit(ACCEPTED))).write.partitionBy(
             "verdict"
         ).parquet(f"{home}/judged")
-        judged = self.spark.read.parquet(f"{home}/judged")
+        judged = self.spark.read.schema(schemas.JUDGED).parquet(f"{home}/judged")
         lines = conformed(judged)
 
         self._write_dimensions(lines, home, loaded_at, source)
@@ -176,6 +172,8 @@ class Warehouse:
         loaded = fact.read(self.spark, f"{home}/fact_sales")
 
         results = metric_rows(quality.check(loaded, "fact_sales"), batch_id, loaded_at)
+        if loaded.isEmpty():
+            results = results.limit(0)
         good = judged.filter(F.col("verdict") == ACCEPTED)
         totals, inserted, print_, _ = _at_once(
             verdict.summary(judged).first,

@@ -92,6 +92,17 @@ DATA_QUALITY_ALERTS = _table(
     "alert_time timestamp, severity string, message string, metadata string"
 )
 
+# Every raw line of a load with its clean columns; stored by verdict.
+JUDGED = _table(
+    "seq bigint, pos bigint, row_id bigint, InvoiceNo string, StockCode string,"
+    " Description string, Quantity string, InvoiceDate string, UnitPrice string,"
+    " CustomerID string, Country string, batch_id string, data_source string,"
+    " created_at timestamp, invoice string, stock_code string, units int,"
+    " unit_price money, transaction_datetime timestamp, customer_id string,"
+    " clean_description string, clean_country string, reject_reason string,"
+    " verdict string"
+)
+
 FACT_SALES = _table(
     "sales_key bigint, date_key int, version_id int,"
     " version_created_at timestamp, customer_key bigint,"

@@ -106,6 +106,16 @@ def test_two_loads(spark, tmp_path):
     assert stored.total_transactions == 2
 
 
+def test_load_without_lines(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    raw = read_csv(spark, write(tmp_path / "empty.csv", []))
+    assert house.load(raw, CHECKS, "empty", LOADED)["records_inserted"] == 0
+    assert house.fact_sales().isEmpty() and house.data_quality_metrics().isEmpty()
+    assert "No data available" in house.data_lineage().first().job_metadata
+    assert house.load(read_csv(spark, write(tmp_path / "1.csv", FIRST)), CHECKS, "full", LOADED)["records_inserted"] == 4
+    assert house.lines().count() == 4
+
+
 def test_unfinished_load_is_invisible(spark, tmp_path, monkeypatch):
     house = Warehouse(spark, str(tmp_path / "house"))
     raw = read_csv(spark, write(tmp_path / "1.csv", FIRST))
