@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontamination, fingerprints, jaccard_join, licenses, line_dedup, packing, quality_gam, token_files, toxicity
+from tallyhouse.llm import decontamination, fingerprints, jaccard_join, licenses, line_dedup, packing, quality_gam, secrets, token_files, toxicity
 from tallyhouse.llm.common import table
 from tallyhouse.llm.tokens import tokenizer_path
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find(table(spark, sf_dir, "documents"), quality_gam.fold(5) == 0)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"))
@@ -56,6 +60,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_line_dedup": op2_line_dedup,
     "op3_fingerprints": op3_fingerprints,
     "op4_decontamination": op4_decontamination,
