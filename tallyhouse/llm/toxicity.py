@@ -74,13 +74,12 @@ def subsequences(s: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass
 class Model:
-    """weights: one per subsequence, in units of the margin; a, b, c: margin and length to log-odds."""
+    """weights: one per subsequence, in units of the margin; slopes and base: what is found in a text to log-odds."""
 
     weights: np.ndarray
     bias: float
-    a: float = 0.0
-    b: float = 0.0
-    c: float = 0.0
+    slopes: tuple[float, ...] = (0.0, 0.0, 0.0)
+    base: float = 0.0
 
     def margins(self, s: np.ndarray) -> np.ndarray:
         """One margin for each window of a text's symbols."""
@@ -95,12 +94,15 @@ class Model:
         w = min(WINDOW, n - 2)
         return sums[w : n - 1] - sums[: n - 1 - w] + self.bias
 
-    def margin(self, text: str | None) -> tuple[float, int]:
+    def measures(self, text: str | None) -> list[float]:
+        """The worst window's margin, how many windows are beyond the middle, the length; the last two as logarithms."""
         s = symbols(text)
-        return float(self.margins(s).max()), len(s)
+        margins = self.margins(s)
+        return [float(margins.max()), float(np.log1p(np.count_nonzero(margins > 0))), float(np.log1p(len(s)))]
 
-    def score(self, margin: np.ndarray, length: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.a * margin + self.b * np.log1p(length) + self.c, -30, 30)))
+    def scores(self, texts) -> np.ndarray:
+        x = np.array([self.measures(t) for t in texts], np.float64).reshape(-1, 3)
+        return 1 / (1 + np.exp(-np.clip(x @ np.array(self.slopes) + self.base, -30, 30)))
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -197,7 +199,7 @@ def train(docs: DataFrame, labels: DataFrame, use: Column | None = None) -> Mode
     toxic, clean = counts.get(1, 0), counts.get(0, 0)
     if not toxic or not clean:
         p = min(max(toxic / max(1, toxic + clean), 1e-6), 1 - 1e-6)
-        return Model(np.zeros(1 << 18, np.float32), 0.0, c=float(np.log(p / (1 - p))))
+        return Model(np.zeros(1 << 18, np.float32), 0.0, base=float(np.log(p / (1 - p))))
     words = stored(_words(rows), "words")
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
     # Words that toxic documents have far more often than clean ones would by chance.
@@ -256,19 +258,17 @@ def _witnesses(rows: DataFrame, model: Model) -> pd.DataFrame:
 def _calibrated(rows: DataFrame, model: Model) -> Model:
     def measure(frames):
         for frame in frames:
-            got = [model.margin(t) for t in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "margin": [m for m, _ in got], "n": [n for _, n in got]})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "x": [model.measures(t) for t in frame["text"]]})
 
-    got = rows.mapInPandas(measure, "doc_id long, label int, margin double, n long").toPandas().sort_values("doc_id")
-    v = _logistic(np.stack([got["margin"], np.log1p(got["n"])], axis=1), got["label"].to_numpy(float))
-    return Model(model.weights, model.bias, *map(float, v))
+    got = rows.mapInPandas(measure, "doc_id long, label int, x array<double>").toPandas().sort_values("doc_id")
+    v = _logistic(np.array(got["x"].tolist()), got["label"].to_numpy(float))
+    return Model(model.weights, model.bias, tuple(map(float, v[:-1])), float(v[-1]))
 
 
 def score_column(model: Model, text: Column) -> Column:
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        got = np.array([model.margin(t) for t in texts], np.float64).reshape(-1, 2)
-        return pd.Series(model.score(got[:, 0], got[:, 1]))
+        return pd.Series(model.scores(texts))
 
     return score(text)
 
