@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
-#: White space other than blank and line feed; texts with any, or with a special token's opening, are encoded whole.
+#: White space other than blank and line feed; texts with any are encoded whole.
 _OTHER_SPACE = re.compile(r"[^\S \n]")
+_CONTROL = "\t\v\f\r\x1c\x1d\x1e\x1f"
+#: Marks that never share a token with the letter before them.
+_MARKS = ".,;:!?#$%&*\"()"
 
 
 def tokenizer_path(name: str) -> str:
@@ -18,21 +22,27 @@ def tokenizer_path(name: str) -> str:
 
 
 class Ids(dict):
-    """Word to packed ids. A word's ids do not depend on its neighbours: both vocabularies split at white space."""
+    """Word to packed ids. A word's ids do not depend on its neighbours: both vocabularies split at white space.
+
+    Words are kept for as long as they are met again: a full generation becomes the old one, from which words return.
+    """
 
     def __init__(self, encode, prefix: str, limit: int):
         super().__init__()
-        self.encode, self.prefix, self.limit = encode, prefix, limit
+        self.encode, self.prefix, self.limit, self.old = encode, prefix, limit, {}
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        # Letters and a closing stop or comma are never one token.
-        if len(word) > 1 and word[-1] in ".," and word[-2].isalpha():
-            ids = self[word[:-1]] + self.encode(word[-1])
-        else:
-            ids = self.encode(self.prefix + word)
+        ids = self.old.get(word)
+        if ids is None:
+            stem = word.rstrip(_MARKS)
+            if len(stem) < len(word) and stem and stem[-1].isalpha():
+                ids = self[stem] + self.encode(word[len(stem) :])
+            else:
+                ids = self.encode(self.prefix + word)
         if len(word) < 64:
+            if len(self) >= self.limit:
+                self.old = dict(self)
+                self.clear()
             self[word] = ids
         return ids
 
@@ -41,39 +51,44 @@ class Encoder:
     """Texts to arrays of uint32 ids, equal to encoding each whole text.
 
     path: a tokenizers file. byte_level: blanks belong to the word after them; otherwise white space is dropped
-    and A-Z do not differ from a-z. limit: words kept in memory per worker.
+    and A-Z do not differ from a-z. limit: words of one generation kept in memory per worker.
     """
 
-    def __init__(self, path: str, byte_level: bool, limit: int = 700_000):
+    def __init__(self, path: str, byte_level: bool, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.byte_level = byte_level
+        self.wide = self.tokenizer.get_vocab_size() > 1 << 16
         self.blank = Ids(self._pack, " " if byte_level else "", limit)
         self.line = Ids(self._pack, "\n", limit // 8)
 
     def _pack(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").astype("<u2", casting="unsafe").tobytes()
+        return array("H", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _wide(self) -> bool:
-        return self.tokenizer.get_vocab_size() > 1 << 16
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def encode(self, text: str | None) -> np.ndarray:
         text = text or ""
-        if self._wide() or "<|" in text or _OTHER_SPACE.search(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        # "<|" opens the special tokens, which the library takes out before all else.
+        if self.wide or "<|" in text or any(c in text for c in _CONTROL):
+            return self._whole(text)
+        plain = text.isascii()
+        if not plain and _OTHER_SPACE.search(text):
+            return self._whole(text)
         if not self.byte_level:
-            words = (text.lower() if text.isascii() else text).replace("\n", " ").split(" ")
-            return np.frombuffer(b"".join(map(self.blank.__getitem__, filter(None, words))), "<u2").astype(np.uint32)
+            words = (text.lower() if plain else text).split()
+            return np.frombuffer(b"".join(map(self.blank.__getitem__, words)), np.uint16).astype(np.uint32)
         parts = []
         for i, line in enumerate(text.split("\n")):
             words = line.split(" ")
             if not all(words):
-                return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                return self._whole(text)
             parts.append(self.line[words[0]] if i else self._pack(words[0]))
             parts.extend(map(self.blank.__getitem__, words[1:]))
-        return np.frombuffer(b"".join(parts), "<u2").astype(np.uint32)
+        return np.frombuffer(b"".join(parts), np.uint16).astype(np.uint32)
 
 
 _open: dict[tuple, Encoder] = {}
