@@ -1,6 +1,6 @@
 """Fact rows: key resolution, rejection of unresolved lines, final columns."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.dimensions import GUEST
@@ -51,16 +51,47 @@ def is_resolved(strict: bool = False) -> Column:
     return whole
 
 
+_IN_TASK = 33
+
+
+def line_starts(stored: DataFrame) -> DataFrame:
+    """For each scan task of a stored table's `row_id`s, how many lines the tasks before it had.
+
+    One row per task, and only those rows are put in order.
+    """
+    sizes = stored.groupBy(_task().alias("_task")).agg((F.max(_place()) + 1).alias("_size"))
+    earlier = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("_task", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+
+
+def line_numbers(lines: DataFrame, starts: DataFrame) -> DataFrame:
+    """Add `line_no`, from 1 on without great gaps, though a row id leaps from one scan task to the next.
+
+    The same stored lines get the same numbers again, and no line is sorted.
+    """
+    numbered = lines.withColumn("_task", _task()).join(starts, "_task")
+    return numbered.withColumn("line_no", F.col("_start") + _place() + 1).drop("_task", "_start")
+
+
+def _task() -> Column:
+    return F.shiftright("row_id", _IN_TASK)
+
+
+def _place() -> Column:
+    return F.col("row_id") % F.lit(2**_IN_TASK)
+
+
 def build(resolved: DataFrame, after: Column | int = 0, version_id: int | None = None) -> DataFrame:
     """Fact columns of the resolved lines.
 
-    `sales_key` is numbered as the rows are written, above the largest key in
-    use: unique without a shuffle, and fixed once the table exists.
+    `sales_key` counts on from `after`, by `line_no` where the lines have one;
+    else it is numbered as the rows are written: unique, but with great gaps.
     """
     base = after if isinstance(after, Column) else F.lit(after)
     version_at = F.col("created_at") if version_id is not None else F.lit(None)
+    number = F.col("line_no") if "line_no" in resolved.columns else F.monotonically_increasing_id() + 1
     values = {
-        "sales_key": base + 1 + F.monotonically_increasing_id(),
+        "sales_key": base + number,
         "version_id": F.lit(version_id),
         "version_created_at": version_at,
         "txn_year": F.year("transaction_datetime"),

@@ -38,22 +38,28 @@ def runs_of_batch(lineage: DataFrame, batch_id: str) -> DataFrame:
     )
 
 
+def row_print(columns: list[str]) -> Column:
+    """A number for a row. Each field stands behind its length, so no two rows read alike."""
+    fields = [
+        F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+        for text in (F.col(c).cast("string") for c in columns)
+    ]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *fields)), 1, 12), 16, 10).cast("decimal(20,0)")
+
+
+def set_print(rows: Column, total: Column) -> Column:
+    """First sixteen hex digits for a number of rows and the sum of their numbers."""
+    total = F.coalesce(total.cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    return F.left(F.md5(F.concat_ws(":", rows.cast("string"), total.cast("string"))), F.lit(16))
+
+
 def fingerprint(df: DataFrame, columns: list[str]) -> Column:
-    """First sixteen hex digits that identify a set of rows in any order.
+    """Sixteen hex digits that identify a set of rows in any order.
 
     Rows are hashed one by one and the hashes added up, so no task ever holds
     more than a running sum.
     """
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in columns])
-    number = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(20,0)")
-    parts = df.agg(
-        F.md5(
-            F.concat_ws(
-                ":", F.count(F.lit(1)).cast("string"), F.sum(number).cast("decimal(38,0)").cast("string")
-            )
-        ).alias("h")
-    )
-    return F.left(parts.scalar(), F.lit(16))
+    return df.agg(set_print(F.count(F.lit(1)), F.sum(row_print(columns))).alias("h")).scalar()
 
 
 def version_number(at: Column) -> Column:

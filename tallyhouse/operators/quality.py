@@ -33,12 +33,12 @@ def completeness(name: str, column: str) -> Measure:
 
 
 def uniqueness(name: str, column: str) -> Measure:
-    """Distinct values as text, of the values that are there."""
+    """Distinct values of the values that are there."""
     return Measure(
         name,
         UNIQUENESS,
         column,
-        lambda c: F.count_distinct(F.col(c).cast("string")),
+        lambda c: F.count_distinct(F.col(c)),
         lambda c: F.count(F.col(c)),
     )
 
@@ -140,8 +140,23 @@ THRESHOLDS = {
 
 
 def measure(df: DataFrame, table: str, suite: list[Measure] | None = None) -> DataFrame:
-    """All checks of a table from one aggregation, one output row per check."""
+    """All checks of a table, one output row per check.
+
+    Plain counters share one aggregation that combines before any shuffle. A
+    distinct count would send their counters along with each of its values, so
+    each one is an aggregation of its own, over its own column.
+    """
     suite = SUITES[table] if suite is None else suite
+    plain = [m for m in suite if m.kind != UNIQUENESS]
+    parts = [[m] for m in suite if m.kind == UNIQUENESS] + ([plain] if plain else [])
+    whole = None
+    for part in parts:
+        rows = _measured(df, table, part)
+        whole = rows if whole is None else whole.unionByName(rows)
+    return whole
+
+
+def _measured(df: DataFrame, table: str, suite: list[Measure]) -> DataFrame:
     totals = []
     for i, m in enumerate(suite):
         totals += [m.hits(m.column).alias(f"h{i}"), m.rows(m.column).alias(f"r{i}")]
@@ -193,9 +208,9 @@ def with_thresholds(
     )
 
 
-def check(df: DataFrame, table: str, sample_rows: int | None = None) -> DataFrame:
-    """Scores and verdicts of a table; on all rows unless a sample is asked for."""
-    return with_thresholds(measure(df if sample_rows is None else df.limit(sample_rows), table))
+def check(df: DataFrame, table: str) -> DataFrame:
+    """Scores and verdicts of a table, over all its rows."""
+    return with_thresholds(measure(df, table))
 
 
 def summary(results: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ def conform(lines: DataFrame) -> DataFrame:
         F.col("category"),
         F.col("subcategory"),
     )
-    provenance = [c for c in ("created_at", "batch_id", "data_source") if c in lines.columns]
+    provenance = [c for c in ("row_id", "created_at", "batch_id", "data_source") if c in lines.columns]
     return tagged.select(
         "seq",
         "pos",

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import cleaning, validation
 from tallyhouse.functions.text import is_blank
 from tallyhouse.operators.carry import carry_last
+from tallyhouse.operators.transform import line_total
 from tallyhouse.schemas import RAW_COLUMNS
 from tallyhouse.session import new_folder
 
@@ -33,8 +34,9 @@ MISSING = "missing_required_field"
 INVALID = "validation_failed"
 ZERO_QUANTITY = "quantity_zero"
 ZERO_PRICE = "unit_price_zero_quarantine"
+TOO_LARGE = "line_total_out_of_range"
 DUPLICATE = "duplicate"
-REASONS = [GATE, MISSING, INVALID, ZERO_QUANTITY, ZERO_PRICE, DUPLICATE]
+REASONS = [GATE, MISSING, INVALID, ZERO_QUANTITY, ZERO_PRICE, TOO_LARGE, DUPLICATE]
 
 ORDER = ["pos", "row_id"]
 HOT_ROWS = 1_000_000
@@ -84,6 +86,7 @@ def with_checks(raw: DataFrame, checks: Checks) -> DataFrame:
         .when(~valid, INVALID)
         .when(F.col("units") == 0, ZERO_QUANTITY)
         .when(F.col("unit_price") == 0, ZERO_PRICE)
+        .when(line_total(F.col("units"), F.col("unit_price")).isNull(), TOO_LARGE)
     )
     return typed.withColumn("_local", local)
 
@@ -113,15 +116,15 @@ def _settle_whole(rows: DataFrame) -> DataFrame:
 def _settle_hot(rows: DataFrame, hot_rows: int) -> DataFrame:
     """Oversized invoices: the same answers from partial aggregates only.
 
-    `rows` carries the invoice's size and range of positions. Every shuffle
-    here is by a key that splits an invoice, or moves pre-aggregated rows.
+    Every shuffle here is by a key that splits an invoice, or moves
+    pre-aggregated rows.
     Conditions sit inside the aggregates: as filters they would be pushed into
     the scan and evaluate every check a second time.
     """
     at = F.struct(*ORDER)
     opening = rows.groupBy("_group").agg(F.min(F.when(_named(), at)).alias("_opens"))
-    # At most one row per oversized invoice, so at most total rows / hot_rows.
-    rows = rows.join(F.broadcast(opening), "_group", "left").withColumn(
+    # One row per oversized invoice; how it gets to the lines is left to its size.
+    rows = rows.join(opening, "_group", "left").withColumn(
         "_reach",
         _ok() & F.coalesce(F.col("_opens") <= at, F.lit(False)),
     )
@@ -133,10 +136,10 @@ def _settle_hot(rows: DataFrame, hot_rows: int) -> DataFrame:
     rows = rows.join(winners, ["_group", "stock_code", *ORDER], "left").withColumn(
         "_accepted", F.col("_reach") & F.coalesce("_first", F.lit(False))
     )
-    # Equal ranges of positions, four times as many as the size asks for.
-    ranges = F.ceil(F.col("_lines") * 4 / F.lit(hot_rows))
-    span = (F.col("_last") - F.col("_begin") + 1) / ranges
-    rows = rows.withColumn("_chunk", F.floor((F.col("pos") - F.col("_begin")) / span))
+    # So many neighbouring positions make a chunk, however far apart the invoice's
+    # first and last ones are: numbers leap from one scan task to the next.
+    span = max(1, hot_rows // 4)
+    rows = rows.withColumn("_chunk", F.floor(F.col("pos") / F.lit(span)))
     # Lines at one position are copies, so they share their source and answer.
     points = rows.groupBy("_group", "_chunk", "pos").agg(
         F.max(F.when(F.col("_accepted"), F.col("_own"))).alias("_source")
@@ -146,23 +149,20 @@ def _settle_hot(rows: DataFrame, hot_rows: int) -> DataFrame:
 
 
 def oversized_invoices(lines: DataFrame, hot_rows: int) -> DataFrame | None:
-    """Invoices of more than `hot_rows` lines, with size and range of positions.
+    """Invoices of more than `hot_rows` lines; None if there is none.
 
-    Counts one column and combines before the shuffle; None, without a second
-    look, if no invoice is that large. The result cannot have more than total
-    rows / hot_rows rows. It is stored, so that all who use it see the same.
+    Counts one column in one pass and combines before the shuffle. The result
+    cannot have more than total rows / hot_rows rows. It is stored, so that all
+    who use it see the same, and Spark knows its size.
     """
     invoice = cleaning.clean_invoice_no(F.col("InvoiceNo"))
-    grouped = lines.select(invoice.alias("_group"), "pos").groupBy("_group")
+    sized = lines.select(invoice.alias("_group")).groupBy("_group").agg(F.count(F.lit(1)).alias("_lines"))
     large = (F.col("_lines") > hot_rows) & (F.col("_group") != "")
-    lines_of = F.count(F.lit(1)).alias("_lines")
-    if grouped.agg(lines_of).filter(large).isEmpty():
-        return None
-    sized = grouped.agg(lines_of, F.min("pos").alias("_begin"), F.max("pos").alias("_last"))
     spark = lines.sparkSession
     kept = new_folder(spark, "oversized")
-    sized.filter(large).write.parquet(kept)
-    return spark.read.schema(sized.schema).parquet(kept)
+    sized.filter(large).select("_group").write.parquet(kept)
+    found = spark.read.schema("_group string").parquet(kept)
+    return None if found.isEmpty() else found
 
 
 def judge(
@@ -177,7 +177,8 @@ def judge(
     that share one are copies of each other) and `row_id` (unique). One small job
     runs first to find oversized invoices, and only if there are any does the
     plan get their path; pass `invoice_scan` where a narrower source of
-    `InvoiceNo` and `pos` exists.
+    `InvoiceNo` exists. Both paths read `raw`, so it has to give the same lines
+    with the same numbers each time: a load stores them first.
     """
     hot = oversized_invoices(raw if invoice_scan is None else invoice_scan, hot_rows)
     invoice = cleaning.clean_invoice_no(F.col("InvoiceNo"))
@@ -187,14 +188,14 @@ def judge(
     scattered = F.concat(F.lit("\x01"), F.pmod("row_id", F.lit(_SCATTER)).cast("string"))
     group = F.when(invoice != "", invoice).otherwise(scattered)
     # The split is made on the raw lines, so that it only reads the invoice.
-    whole = raw if hot is None else raw.join(F.broadcast(hot), is_hot, "left_anti")
+    whole = raw if hot is None else raw.join(hot, is_hot, "left_anti")
     # Raw text is what the quarantine needs, so it has to cross the network;
     # typed columns do not, and are made on the far side.
     settled = _settle_whole(
         with_checks(whole.withColumn("_group", group).repartition("_group"), checks)
     )
     if hot is not None:
-        split = _settle_hot(with_checks(raw.join(F.broadcast(hot), is_hot), checks), hot_rows)
+        split = _settle_hot(with_checks(raw.join(hot, is_hot), checks), hot_rows)
         settled = settled.unionByName(split.select(settled.columns))
     customer = F.coalesce("_own", F.when(F.col("_seeks"), F.col("_fill")))
     reason = (

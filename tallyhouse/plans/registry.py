@@ -26,6 +26,7 @@ from tallyhouse.operators import (
     trends,
     verdict,
 )
+from tallyhouse.plans.oracle_views import VIEWS
 from tallyhouse.plans.oracle_views import query as sql
 from tallyhouse.plans.warehouse import Warehouse, alert_rows
 from tallyhouse.schemas import RAW_COLUMNS
@@ -91,7 +92,6 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
             CHECKS,
             BATCH,
             LOADED_AT,
-            invoice_scan=sales_view(spark, sf_dir, ["InvoiceNo"]),
         )
         _WAREHOUSES[at] = opened
     return _WAREHOUSES[at]
@@ -216,6 +216,36 @@ def quarantine_sink(spark, sf_dir):
     )
 
 
+@register(
+    "load_balance",
+    "SELECT count(*) AS records_read, count(*) FILTER (WHERE NOT is_admitted) AS gate_rejected,"
+    " count(*) FILTER (WHERE is_admitted AND reject_reason IS NOT NULL) AS records_rejected,"
+    " count(*) FILTER (WHERE reject_reason IS NULL) AS records_inserted, 0::BIGINT AS missing FROM judged",
+)
+def load_balance(spark, sf_dir):
+    """Every line read, by where it ended: turned away, in quarantine, or in the fact table."""
+    house = warehouse(spark, sf_dir)
+    told = F.from_json("job_metadata", "records_read bigint, gate_rejected bigint")
+    run = house.data_lineage().select(told.alias("m"), "records_rejected", "records_inserted")
+    refused = house.quarantine().agg(
+        F.count_if(F.col("reject_reason") == verdict.GATE).alias("gate"),
+        F.count_if(F.col("reject_reason") != verdict.GATE).alias("refused"),
+    )
+    facts = house.fact_sales().agg(F.count(F.lit(1)).alias("facts"))
+    return run.select(
+        "m.records_read",
+        "m.gate_rejected",
+        "records_rejected",
+        "records_inserted",
+        (
+            F.col("m.records_read")
+            - refused.select("gate").scalar()
+            - refused.select("refused").scalar()
+            - facts.scalar()
+        ).alias("missing"),
+    )
+
+
 _FACT_SUITE = """
     SELECT 'fact_sales' AS table_name, * FROM (
       SELECT 'invoice_no' AS column_name, 'invoice_completeness' AS metric_name, 'completeness' AS metric_type,
@@ -276,7 +306,8 @@ def metrics_sink(spark, sf_dir):
 
 @register(
     "alerts_sink",
-    "SELECT 'ERROR' AS severity, 'Quality anomalies detected' AS message, count(*) AS anomaly_count FROM drops HAVING count(*) > 0",
+    "SELECT 'ERROR' AS severity, 'Quality anomalies detected' AS message, count(*) AS anomaly_count, max(score_drop) AS worst_drop,"
+    " string_agg(DISTINCT table_name, ',' ORDER BY table_name) AS affected_tables FROM drops HAVING count(*) > 0",
     _TREND,
 )
 def alerts_sink(spark, sf_dir):
@@ -288,6 +319,8 @@ def alerts_sink(spark, sf_dir):
         "severity",
         "message",
         F.get_json_object("metadata", "$.anomaly_count").cast("bigint").alias("anomaly_count"),
+        F.get_json_object("metadata", "$.worst_drop").cast("double").alias("worst_drop"),
+        F.get_json_object("metadata", "$.affected_tables").alias("affected_tables"),
     )
 
 
@@ -297,10 +330,13 @@ _SIZES = (
     " UNION ALL SELECT 'dim_date', count(DISTINCT transaction_date) FROM lines"
     " UNION ALL SELECT 'data_lineage', 1 FROM fact GROUP BY 1 UNION ALL SELECT 'data_versions', 1 FROM fact GROUP BY 1"
     " UNION ALL SELECT 'data_quality_metrics', 7 FROM fact GROUP BY 1"
+    " UNION ALL SELECT 'dim_transaction_type', count(*) FROM effects"
+    " UNION ALL SELECT 'fact_sales_archive', count(*) FROM fact WHERE false"
+    " UNION ALL SELECT 'data_quality_alerts', count(*) FILTER (WHERE score < 90) FROM (SELECT avg(score) AS score FROM fact_scored)"
 )
 
 
-@register("dictionary_export", _SIZES)
+@register("dictionary_export", _SIZES, _SUITE_VIEWS)
 def dictionary_export(spark, sf_dir):
     folder = new_folder(spark, "dictionary")
     catalog.export_dictionary(spark, warehouse(spark, sf_dir).tables(), folder)
@@ -343,14 +379,15 @@ _cleaner("clean_date", "InvoiceDate", "CAST(ts AS VARCHAR)", cleaning.clean_date
       UNION ALL SELECT 'clean_stock_code', stock_code <> StockCode FROM typed
       UNION ALL SELECT 'clean_quantity', CAST(quantity AS VARCHAR) <> QuantityText FROM typed
       UNION ALL SELECT 'clean_unit_price', CAST(unit_price AS VARCHAR) <> UnitPrice FROM typed
-      UNION ALL SELECT 'clean_customer_id', own <> CustomerID FROM typed)
+      UNION ALL SELECT 'clean_customer_id', own <> CustomerID FROM typed
+      UNION ALL SELECT 'clean_description', description_clean <> Description FROM typed
+      UNION ALL SELECT 'clean_country', country_clean <> Country FROM typed
+      UNION ALL SELECT 'clean_date', coalesce(strftime(ts, '%Y-%m-%d %H:%M:%S') <> InvoiceDate, true) FROM typed)
     GROUP BY rule_name""",
 )
 def cleaning_rule_counts(spark, sf_dir):
-    """Applied and effective counts of the rules on codes and numbers, in one pass."""
-    columns = ["InvoiceNo", "StockCode", "Quantity", "UnitPrice", "CustomerID"]
-    chosen = [r for r in rules.CLEANING_RULES if set(r.columns) & set(columns)]
-    return rules.rule_counts(sales_view(spark, sf_dir, columns), chosen)
+    """Applied and effective counts of all cleaning rules, in one pass."""
+    return rules.rule_counts(sales_view(spark, sf_dir), rules.CLEANING_RULES)
 
 
 # ---- validation
@@ -1073,12 +1110,27 @@ def net_revenue_by_type(spark, sf_dir):
     return transform.net_revenue_by_type(warehouse(spark, sf_dir).fact_sales())
 
 
+def _stored(spark, sf_dir, name: str) -> DataFrame:
+    """A summary table written twice for a day and read back; the second time replaces the first."""
+    folder = new_folder(spark, "summaries")
+    for _ in range(2):
+        warehouse(spark, sf_dir).summarise(SALES_AS_OF, folder)
+    return spark.read.parquet(f"{folder}/{name}")
+
+
 @register("stored_top_products", f"SELECT *, '{SALES_AS_OF}' AS as_of FROM ({_TOP})")
 def stored_top_products(spark, sf_dir):
-    """Summary tables written for a day and read back."""
-    folder = new_folder(spark, "summaries")
-    warehouse(spark, sf_dir).summarise(SALES_AS_OF, folder)
-    return spark.read.parquet(f"{folder}/top_products")
+    return _stored(spark, sf_dir, "top_products")
+
+
+@register("stored_sales_summary", f"SELECT *, '{SALES_AS_OF}' AS as_of FROM ({_SUMMARY_30})")
+def stored_sales_summary(spark, sf_dir):
+    return _stored(spark, sf_dir, "sales_summary")
+
+
+@register("stored_customer_stats", f"SELECT *, '{SALES_AS_OF}' AS as_of FROM ({_STATS})")
+def stored_customer_stats(spark, sf_dir):
+    return _stored(spark, sf_dir, "customer_stats")
 
 
 # ---- quality
@@ -1407,22 +1459,20 @@ def load_metrics(spark, sf_dir):
     )
 
 
-_PRINTS = """
-    SELECT '1' AS version_id, substr(md5(count(*) || ':' || CAST(sum(h) AS VARCHAR)), 1, 16) AS file_hash,
-      'INCREMENTAL' AS version_type, count(*) AS source_lines FROM (
-      SELECT CAST('0x' || substr(md5(concat_ws('|', InvoiceNo, StockCode, QuantityText, InvoiceDate, UnitPrice, CustomerID)), 1, 12) AS BIGINT) AS h FROM raw_sales)"""
+# A field stands behind its length, fields are joined by "|"; twelve hex digits per row, sixteen in all.
+_PRINTS = f"""
+    SELECT version_id, substr(md5(count(*) || ':' || CAST(sum(h) AS VARCHAR)), 1, 16) AS file_hash,
+      'INCREMENTAL' AS version_type, (SELECT count(*) FROM fact) AS records_count FROM (
+      SELECT 1::BIGINT AS version_id, CAST('0x' || substr(md5(concat_ws('|', {", ".join(
+        f"length({c}) || ':' || {c}" for c in ("InvoiceNo", "StockCode", "Description", "QuantityText", "InvoiceDate", "UnitPrice", "CustomerID", "Country")
+      )})), 1, 12) AS BIGINT) AS h FROM raw_sales) GROUP BY 1"""
 
 
 @register("version_create", _PRINTS)
 def version_create(spark, sf_dir):
-    """Identity of the source lines, whatever order they come in."""
-    columns = [c for c in RAW_COLUMNS if c not in ("Description", "Country")]
-    raw = sales_view(spark, sf_dir, columns)
-    return raw.agg(F.count(F.lit(1)).alias("source_lines")).select(
-        F.lit("1").alias("version_id"),
-        lineage.fingerprint(raw, columns).alias("file_hash"),
-        F.lit("INCREMENTAL").alias("version_type"),
-        "source_lines",
+    """The load's version: it names all source lines, whatever order they come in."""
+    return warehouse(spark, sf_dir).data_versions().select(
+        "version_id", "file_hash", "version_type", "records_count"
     )
 
 
@@ -1510,6 +1560,7 @@ def column_catalog(spark, sf_dir):
 @register(
     "table_sizes",
     _SIZES,
+    _SUITE_VIEWS,
 )
 def table_sizes(spark, sf_dir):
     return catalog.table_sizes(warehouse(spark, sf_dir).tables())
@@ -1556,27 +1607,60 @@ def incremental_load(spark, sf_dir):
 
 @register(
     "streaming_clean",
-    "SELECT seq, pos, invoice, stock_code, quantity, CAST(unit_price AS DOUBLE) AS unit_price, own AS customer_id FROM typed WHERE is_admitted",
+    "SELECT seq, pos, invoice, stock_code, description_clean AS description, country_clean AS country, quantity,"
+    " CAST(unit_price AS DOUBLE) AS unit_price, own AS customer_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS transaction_datetime"
+    " FROM typed WHERE is_admitted",
 )
 def streaming_clean(spark, sf_dir):
     """The row-local rules on a stream of lines joined with stored tables."""
     stream = incremental.line_stream(spark, sf_dir)
-    columns = ["InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID"]
-    cleaned = incremental.clean_stream(sales_view(spark, sf_dir, columns, lineitem=stream))
-    return incremental.drain(cleaned.drop("transaction_datetime"), new_folder(spark, "stream"))
+    cleaned = incremental.clean_stream(sales_view(spark, sf_dir, lineitem=stream))
+    return incremental.drain(cleaned, new_folder(spark, "stream"))
+
+
+_SOUND = {
+    "accepted": "SELECT seq, pos, invoice, stock_code, quantity, unit_price, ts, own AS customer_id,"
+    " description_clean AS description, country_clean AS country FROM checked WHERE is_admitted AND valid AND unit_price <> 0 AND own <> ''",
+    "tagged": VIEWS["tagged"],
+    "lines": VIEWS["lines"],
+}
+
+
+@register(
+    "streaming_conform",
+    "SELECT seq, pos, invoice_no, transaction_type, quantity, CAST(unit_price AS DOUBLE) AS unit_price,"
+    " CAST(line_total AS DOUBLE) AS line_total, strftime(transaction_datetime, '%Y-%m-%d %H:%M:%S') AS transaction_datetime,"
+    " customer_id, stock_code, description, country, category, subcategory, is_gift FROM lines",
+    _SOUND,
+)
+def streaming_conform(spark, sf_dir):
+    """Lines that pass every check by themselves, conformed on the stream as in a batch."""
+    stream = incremental.line_stream(spark, sf_dir)
+    cleaned = incremental.clean_stream(sales_view(spark, sf_dir, lineitem=stream))
+    done = incremental.drain(incremental.conform_stream(cleaned, CHECKS), new_folder(spark, "stream"))
+    return done.drop("invoice", "transaction_date")
 
 
 @register(
     "streaming_dedup",
-    "SELECT DISTINCT invoice, stock_code FROM typed WHERE is_admitted AND ts IS NOT NULL",
+    "SELECT 'kept' AS outcome, invoice, stock_code, 1::BIGINT AS lines FROM typed WHERE is_admitted AND ts IS NOT NULL GROUP BY invoice, stock_code"
+    " UNION ALL SELECT 'undated', invoice, stock_code, count(*) FROM typed WHERE is_admitted AND ts IS NULL GROUP BY invoice, stock_code"
+    " UNION ALL SELECT 'late', '', '', 0",
 )
 def streaming_dedup(spark, sf_dir):
-    """One line per invoice and stock code over the life of a stream."""
+    """One line per invoice and stock code over the life of a stream, and what it could not place."""
     stream = incremental.line_stream(spark, sf_dir)
-    columns = ["InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID"]
-    cleaned = incremental.clean_stream(sales_view(spark, sf_dir, columns, lineitem=stream))
-    once = incremental.deduplicate_stream(cleaned, "20 days")
-    return incremental.drain(once.select("invoice", "stock_code"), new_folder(spark, "stream"))
+    cleaned = incremental.clean_stream(sales_view(spark, sf_dir, lineitem=stream))
+    report: dict[str, int] = {}
+    once = incremental.drain(incremental.deduplicate_stream(cleaned, "20 days"), new_folder(spark, "stream"), report)
+    undated = incremental.drain(incremental.undated_stream(cleaned), new_folder(spark, "stream"))
+    late = spark.createDataFrame([("late", "", "", report["late"])], "outcome string, invoice string, stock_code string, lines bigint")
+    count = F.count(F.lit(1)).alias("lines")
+    kept, apart = (
+        rows.groupBy("invoice", "stock_code").agg(count).select(F.lit(name).alias("outcome"), "invoice", "stock_code", "lines")
+        for name, rows in (("kept", once), ("undated", undated))
+    )
+    return kept.unionByName(apart).unionByName(late)
 
 
 @register(

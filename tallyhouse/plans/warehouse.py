@@ -1,24 +1,28 @@
 """The load job and the tables it leaves behind.
 
-Each load writes a folder of its own and becomes visible by one row in the log
+Each load writes folders of its own and becomes visible by one row in the log
 of loads, written last. A load that dies halfway leaves nothing a reader sees,
 and a batch that is already in the log is not loaded again.
 
-    <root>/loads                     one row per finished load
-    <root>/load-<id>/judged          every raw line with its verdict
-    <root>/load-<id>/fact_sales      accepted lines, by year
-    <root>/load-<id>/dim_*           whole dimension after the load
-    <root>/load-<id>/data_*          versions, lineage, quality rows of the load
+    <root>/loads                           one row per finished load
+    <root>/landed/load_id=...              every raw line as it came, numbered
+    <root>/judged/load_id=.../verdict=...  every raw line with its verdict
+    <root>/unresolved/load_id=...          accepted lines that found no keys
+    <root>/fact_sales/load_id=...          accepted lines, by year
+    <root>/dim_*/load_id=...               whole dimension after the load
+    <root>/data_*/load_id=...              versions, lineage, quality rows of the load
+    <root>/failed_runs                     lineage rows of loads that failed
 """
 
 import json
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
@@ -37,6 +41,7 @@ from tallyhouse.schemas import RAW_COLUMNS
 
 _LOG = "load_no int, batch_id string, folder string, loaded_at timestamp_ntz"
 ACCEPTED = "accepted"
+UNRESOLVED = "unresolved_keys"
 
 
 class Warehouse:
@@ -55,26 +60,24 @@ class Warehouse:
         return self.spark.read.schema(_LOG).parquet(path)
 
     def _folders(self) -> list[str]:
-        """Folders of finished loads, oldest first; one row per load."""
+        """Names of finished loads, oldest first; one row per load."""
         rows = self.loads().orderBy("load_no").select("folder").collect()
-        return [f"{self.root}/{r.folder}" for r in rows]
+        return [r.folder for r in rows]
 
-    def _all(self, table: str, schema) -> DataFrame:
-        paths = [f"{f}/{table}" for f in self._folders()]
-        paths = [p for p in paths if self._exists(p)]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        parts = [self.spark.read.schema(schema).parquet(p) for p in paths]
-        whole = parts[0]
-        for part in parts[1:]:
-            whole = whole.unionByName(part)
-        return whole
-
-    def _latest(self, table: str, schema) -> DataFrame:
-        folders = self._folders()
+    def _all(self, table: str, schema, folders: list[str] | None = None) -> DataFrame:
+        """One scan over the table's folders of all finished loads, however many they are."""
+        folders = self._folders() if folders is None else folders
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{folders[-1]}/{table}")
+        found = self.spark.read.option("basePath", f"{self.root}/{table}").schema(schema)
+        names = [f.name for f in schema]
+        return found.parquet(*[self._place(table, f) for f in folders]).select(names)
+
+    def _place(self, table: str, folder: str) -> str:
+        return f"{self.root}/{table}/load_id={folder}"
+
+    def _latest(self, table: str, schema, folders: list[str] | None = None) -> DataFrame:
+        return self._all(table, schema, (self._folders() if folders is None else folders)[-1:])
 
     def fact_sales(self) -> DataFrame:
         return self._all("fact_sales", schemas.FACT_SALES)
@@ -91,8 +94,13 @@ class Warehouse:
     def data_versions(self) -> DataFrame:
         return self._all("data_versions", schemas.DATA_VERSIONS)
 
-    def data_lineage(self) -> DataFrame:
-        return self._all("data_lineage", schemas.DATA_LINEAGE)
+    def data_lineage(self, folders: list[str] | None = None) -> DataFrame:
+        """One row per run: those of finished loads, and those of loads that failed."""
+        done = self._all("data_lineage", schemas.DATA_LINEAGE, folders)
+        failed = f"{self.root}/failed_runs"
+        if not self._exists(failed):
+            return done
+        return done.unionByName(self.spark.read.schema(schemas.DATA_LINEAGE).parquet(failed))
 
     def data_quality_metrics(self) -> DataFrame:
         return self._all("data_quality_metrics", schemas.DATA_QUALITY_METRICS)
@@ -100,6 +108,12 @@ class Warehouse:
     def data_quality_alerts(self) -> DataFrame:
         return self._all("data_quality_alerts", schemas.DATA_QUALITY_ALERTS)
 
+    def fact_sales_archive(self) -> DataFrame:
+        path = f"{self.root}/fact_sales_archive"
+        if not self._exists(path):
+            return self.spark.createDataFrame([], schemas.FACT_SALES_ARCHIVE)
+        return self.spark.read.schema(schemas.FACT_SALES_ARCHIVE).parquet(path)
+
     def judged(self) -> DataFrame:
         """Every raw line of every load; `verdict` is a folder level."""
         return self._all("judged", schemas.JUDGED)
@@ -109,18 +123,41 @@ class Warehouse:
         return conformed(self.judged())
 
     def quarantine(self) -> DataFrame:
-        return verdict.rejected(self.judged().filter(F.col("verdict") != ACCEPTED))
+        """Lines turned down by their verdict, and accepted ones that found no keys."""
+        refused = self.judged().filter(F.col("verdict") != ACCEPTED)
+        return verdict.rejected(refused.unionByName(self._all("unresolved", schemas.JUDGED)))
 
     def tables(self) -> dict[str, DataFrame]:
-        return {
-            "data_lineage": self.data_lineage(),
-            "data_quality_metrics": self.data_quality_metrics(),
-            "data_versions": self.data_versions(),
-            "dim_customer": self.dim_customer(),
-            "dim_date": self.dim_date(),
-            "dim_product": self.dim_product(),
-            "fact_sales": self.fact_sales(),
+        folders = self._folders()
+        stored = {
+            "data_quality_alerts": schemas.DATA_QUALITY_ALERTS,
+            "data_quality_metrics": schemas.DATA_QUALITY_METRICS,
+            "data_versions": schemas.DATA_VERSIONS,
+            "fact_sales": schemas.FACT_SALES,
+        }
+        current = {
+            "dim_customer": schemas.DIM_CUSTOMER,
+            "dim_date": schemas.DIM_DATE,
+            "dim_product": schemas.DIM_PRODUCT,
         }
+        found = {n: self._all(n, schema, folders) for n, schema in stored.items()}
+        found |= {n: self._latest(n, schema, folders) for n, schema in current.items()}
+        found["data_lineage"] = self.data_lineage(folders)
+        found["dim_transaction_type"] = transform.transaction_types(self.spark)
+        found["fact_sales_archive"] = self.fact_sales_archive()
+        return dict(sorted(found.items()))
+
+    def archive(self, before: DataFrame, after: DataFrame, changed_at: str, changed_by: str) -> None:
+        """Keep the old image of the sales rows that a correction updates or deletes."""
+        changes = lineage.change_archive(before, after, ["sales_key"])
+        changes.select(
+            "sales_key",
+            "operation",
+            F.col("version_id").cast("int").alias("version_id"),
+            F.lit(changed_at).cast("timestamp_ntz").alias("changed_at"),
+            F.lit(changed_by).alias("changed_by"),
+            "payload",
+        ).write.mode("append").parquet(f"{self.root}/fact_sales_archive")
 
     # ---- loading
 
@@ -133,69 +170,115 @@ class Warehouse:
         job_name: str = "sales_import",
         source: str = "CSV",
         source_file: str | None = None,
-        invoice_scan: DataFrame | None = None,
         hot_rows: int = verdict.HOT_ROWS,
     ) -> dict[str, int]:
-        """Run one load end to end and return its counts."""
+        """Run one load end to end and return its counts.
+
+        Every line read ends in one of them: records_read is gate_rejected, plus
+        records_rejected, plus records_inserted. A load that fails leaves a
+        lineage row that says why.
+        """
         done = self.loads()
         if not done.filter(F.col("batch_id") == batch_id).isEmpty():
             return {}
-        started = _now()
+        run = _Run(batch_id, loaded_at, job_name, source, source_file, _now())
+        try:
+            return self._load(raw, checks, done, run, hot_rows)
+        except Exception as error:
+            row = run.lineage({}, _now(), "FAILED", str(error)[:2000], {})
+            self.spark.createDataFrame([row], schemas.DATA_LINEAGE).coalesce(1).write.mode("append").parquet(
+                f"{self.root}/failed_runs"
+            )
+            raise
+
+    def _load(self, raw: DataFrame, checks, done: DataFrame, run: "_Run", hot_rows: int) -> dict[str, int]:
         load_no = (done.agg(F.max("load_no")).first()[0] or 0) + 1
-        folder = f"load-{uuid.uuid4().hex}"
-        home = f"{self.root}/{folder}"
+        folder = uuid.uuid4().hex
+        home = partial(self._place, folder=folder)
+
+        # The one pass over the source. What follows reads the stored lines, whose numbers are fixed from here on.
+        landed = stamp(raw, run.batch_id, run.loaded_at, run.source)
+        schema = landed.schema
+        landed.write.parquet(home("landed"))
+        landed = self.spark.read.schema(schema).parquet(home("landed"))
 
-        # The one pass over the raw lines; everything below reads its result.
-        lines_in = stamp(raw, batch_id, loaded_at, source)
-        judged = verdict.judge(lines_in, checks, hot_rows, invoice_scan)
+        seen = Observation()
+        judged = verdict.judge(landed, checks, hot_rows).observe(seen, *_counts())
         judged.withColumn("verdict", F.coalesce("reject_reason", F.lit(ACCEPTED))).write.partitionBy(
             "verdict"
-        ).parquet(f"{home}/judged")
-        judged = self.spark.read.schema(schemas.JUDGED).parquet(f"{home}/judged")
+        ).parquet(home("judged"))
+        judged = self.spark.read.schema(schemas.JUDGED).parquet(home("judged"))
         lines = conformed(judged)
 
-        self._write_dimensions(lines, home, loaded_at, source)
+        self._write_dimensions(lines, home, run.loaded_at, run.source, load_no)
         dates, customers, products = (
-            self.spark.read.schema(schema).parquet(f"{home}/{table}")
+            self.spark.read.schema(schema).parquet(home(table))
             for table, schema in (
                 ("dim_date", schemas.DIM_DATE),
                 ("dim_customer", schemas.DIM_CUSTOMER),
                 ("dim_product", schemas.DIM_PRODUCT),
             )
         )
-        resolved = fact.resolve_keys(lines, dates, customers, products)
+        written = Observation()
+        # Stored, so that Spark knows how few rows they are.
+        starts = fact.line_starts(landed)
+        schema = starts.schema
+        starts.write.parquet(home("line_starts"))
+        starts = self.spark.read.schema(schema).parquet(home("line_starts"))
+        resolved = fact.resolve_keys(fact.line_numbers(lines, starts), dates, customers, products)
         base = self.fact_sales().agg(F.max("sales_key")).first()[0] or 0
         fact.write(
-            fact.build(resolved.filter(fact.is_resolved()), after=base, version_id=load_no),
-            f"{home}/fact_sales",
-        )
-        loaded = fact.read(self.spark, f"{home}/fact_sales")
-
-        results = metric_rows(quality.check(loaded, "fact_sales"), batch_id, loaded_at)
-        if loaded.isEmpty():
-            results = results.limit(0)
-        good = judged.filter(F.col("verdict") == ACCEPTED)
-        totals, inserted, print_, _ = _at_once(
-            verdict.summary(judged).first,
-            loaded.count,
-            self.spark.range(1).select(lineage.fingerprint(good, RAW_COLUMNS).alias("h")).first,
-            lambda: results.write.parquet(f"{home}/data_quality_metrics"),
+            fact.build(
+                resolved.observe(
+                    written,
+                    F.count_if(fact.is_resolved()).alias("inserted"),
+                    F.count_if(~fact.is_resolved()).alias("unresolved"),
+                ).filter(fact.is_resolved()),
+                after=base,
+                version_id=load_no,
+            ),
+            home("fact_sales"),
         )
+        # An empty result has no observation.
+        inserted, unresolved = (written.get.get(n, 0) for n in ("inserted", "unresolved"))
+        self._write_unresolved(resolved, judged, home, unresolved)
+        loaded = fact.read(self.spark, home("fact_sales"))
+
+        results = metric_rows(quality.check(loaded, "fact_sales"), run.batch_id, run.loaded_at)
+        (results if inserted else results.limit(0)).write.parquet(home("data_quality_metrics"))
+        totals = {"read": 0, "gate_rejected": 0, "cleaned": 0, "print": None} | seen.get
         counts = {
-            "records_processed": totals.total_records,
-            "records_cleaned": totals.records_cleaned,
+            "records_read": totals["read"],
+            "gate_rejected": totals["gate_rejected"],
+            "records_processed": totals["read"] - totals["gate_rejected"],
+            "records_cleaned": totals["cleaned"],
             "records_inserted": inserted,
-            "records_rejected": totals.records_rejected,
+            "records_rejected": totals["read"] - totals["gate_rejected"] - totals["cleaned"] + unresolved,
+            "records_unresolved": unresolved,
         }
-        self._write_records(
-            home, counts, load_no, batch_id, loaded_at, started, job_name, source, source_file, print_.h
+        print_ = (
+            self.spark.range(1)
+            .select(lineage.set_print(F.lit(totals["read"]), F.lit(totals["print"])).alias("h"))
+            .first()
         )
+        self._write_records(home, counts, load_no, run, print_.h)
         self.spark.createDataFrame(
-            [(load_no, batch_id, folder, _moment(loaded_at))], _LOG
+            [(load_no, run.batch_id, folder, _moment(run.loaded_at))], _LOG
         ).write.mode("append").parquet(f"{self.root}/loads")
         return counts
 
-    def _write_dimensions(self, lines: DataFrame, home: str, loaded_at: str, source: str) -> None:
+    def _write_unresolved(self, resolved: DataFrame, judged: DataFrame, home: Callable[[str], str], n: int) -> None:
+        """Accepted lines without their keys, as they came, with a reason of their own."""
+        lost = resolved.filter(~fact.is_resolved()).select("row_id") if n else None
+        rows = judged.filter(F.col("verdict") == ACCEPTED)
+        rows = rows.limit(0) if lost is None else rows.join(lost, "row_id", "left_semi")
+        rows.withColumn("reject_reason", F.lit(UNRESOLVED)).select(
+            [f.name for f in schemas.JUDGED]
+        ).write.parquet(home("unresolved"))
+
+    def _write_dimensions(
+        self, lines: DataFrame, home: Callable[[str], str], loaded_at: str, source: str, load_no: int
+    ) -> None:
         """Members first, keys second.
 
         Assigning keys reads the members more than once, so what the lines say
@@ -208,9 +291,9 @@ class Warehouse:
             "dim_customer": dimensions.customer_attributes(lines),
         }
         _at_once(
-            *[partial(df.write.parquet, f"{home}/members/{n}") for n, df in members.items()]
+            *[partial(df.write.parquet, home(f"{n}_members")) for n, df in members.items()]
         )
-        found = {n: self.spark.read.parquet(f"{home}/members/{n}") for n in members}
+        found = {n: self.spark.read.parquet(home(f"{n}_members")) for n in members}
         frames = {
             "dim_date": dimensions.insert_absent_dates(self.dim_date(), found["dim_date"]),
             "dim_product": dimensions.upsert_products(
@@ -220,40 +303,51 @@ class Warehouse:
                 self.dim_customer(), found["dim_customer"], loaded_at, source
             ),
         }
-        _at_once(*[partial(df.write.parquet, f"{home}/{n}") for n, df in frames.items()])
+        # Products and current customers that have no version yet get this load's.
+        at = F.lit(loaded_at).cast("timestamp_ntz")
+        frames["dim_product"] = lineage.tag(frames["dim_product"], load_no, at)
+        frames["dim_customer"] = lineage.tag(frames["dim_customer"], load_no, at, F.col("is_current"))
+        _at_once(*[partial(df.write.parquet, home(n)) for n, df in frames.items()])
 
     def _write_records(
-        self, home, counts, load_no, batch_id, loaded_at, started, job_name, source, source_file, file_hash
+        self, home: Callable[[str], str], counts: dict[str, int], load_no: int, run: "_Run", file_hash: str
     ) -> None:
         """Alert, version and lineage rows of one load; a handful each."""
-        spark, at = self.spark, _moment(loaded_at)
+        spark, at = self.spark, _moment(run.loaded_at)
         scored = spark.read.schema(schemas.DATA_QUALITY_METRICS).parquet(
-            f"{home}/data_quality_metrics"
+            home("data_quality_metrics")
         )
         total = quality.summary(scored)
         gate = quality.load_gate(total).first()
+        # Loads within one second share the time, not the number.
+        number = f"v{at:%Y%m%d_%H%M%S}"
+        if not self.data_versions().filter(F.col("version_number") == number).isEmpty():
+            number = f"{number}_{load_no}"
         version = (
-            load_no, f"v{at:%Y%m%d_%H%M%S}", "INCREMENTAL", f"ETL load from {source_file or 'pipeline'}",
-            source_file, file_hash, job_name, "ACTIVE", counts["records_inserted"], at,
-        )
-        ended = _now()
-        run = (
-            uuid.uuid4().hex, source, "raw_sales", source_file, "fact_sales", job_name, batch_id,
-            counts["records_processed"], counts["records_inserted"], 0, counts["records_rejected"],
-            started, ended, int((ended - started).total_seconds()), "SUCCESS", None,
-            json.dumps({"overall_score": gate.overall_score, "warning": gate.warning}), at,
+            load_no, number, "INCREMENTAL", f"ETL load from {run.source_file or 'pipeline'}",
+            run.source_file, file_hash, run.job_name, "ACTIVE", counts["records_inserted"], at,
         )
+        facts = {"overall_score": gate.overall_score, "warning": gate.warning}
+        facts |= {n: counts[n] for n in ("records_read", "gate_rejected", "records_unresolved")}
+        history = self.data_quality_metrics().unionByName(scored)
+        drops = trends.anomaly_alert(trends.anomalies(history, run.loaded_at[:10]))
+        alerts = alert_rows(quality.score_alerts(total), run.loaded_at)
         frames = {
-            "data_quality_alerts": alert_rows(quality.score_alerts(total), loaded_at),
+            "data_quality_alerts": alerts.unionByName(alert_rows(drops, run.loaded_at)),
             "data_versions": spark.createDataFrame([version], schemas.DATA_VERSIONS),
-            "data_lineage": spark.createDataFrame([run], schemas.DATA_LINEAGE),
+            "data_lineage": spark.createDataFrame(
+                [run.lineage(counts, _now(), "SUCCESS", None, facts)], schemas.DATA_LINEAGE
+            ),
         }
         _at_once(
-            *[partial(df.coalesce(1).write.parquet, f"{home}/{n}") for n, df in frames.items()]
+            *[partial(df.coalesce(1).write.parquet, home(n)) for n, df in frames.items()]
         )
 
     def summarise(self, as_of: str, path: str) -> None:
-        """Store the business summaries for a day; readers then skip the fact table."""
+        """Store the business summaries for a day; readers then skip the fact table.
+
+        A day stored before is replaced, other days stay.
+        """
         facts = self.fact_sales()
         stored = {
             "sales_summary": analytics.sales_summary(facts, as_of),
@@ -262,8 +356,8 @@ class Warehouse:
         }
         for name, df in stored.items():
             df.withColumn("as_of", F.lit(as_of).cast("date")).write.partitionBy("as_of").mode(
-                "append"
-            ).parquet(f"{path}/{name}")
+                "overwrite"
+            ).option("partitionOverwriteMode", "dynamic").parquet(f"{path}/{name}")
 
     def _exists(self, path: str) -> bool:
         jvm = self.spark._jvm
@@ -271,6 +365,37 @@ class Warehouse:
         return hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+@dataclass(frozen=True)
+class _Run:
+    """What a lineage row says about a load besides its counts."""
+
+    batch_id: str
+    loaded_at: str
+    job_name: str
+    source: str
+    source_file: str | None
+    started: datetime
+
+    def lineage(self, counts: dict, ended: datetime, status: str, error: str | None, facts: dict) -> tuple:
+        return (
+            uuid.uuid4().hex, self.source, "raw_sales", self.source_file, "fact_sales", self.job_name, self.batch_id,
+            counts.get("records_processed", 0), counts.get("records_inserted", 0), 0, counts.get("records_rejected", 0),
+            self.started, ended, int((ended - self.started).total_seconds()), status, error,
+            json.dumps(facts), _moment(self.loaded_at),
+        )
+
+
+def _counts() -> list:
+    """What is counted while the judged lines are written; the print covers every line of the source."""
+    reason = F.col("reject_reason")
+    return [
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(reason == verdict.GATE).alias("gate_rejected"),
+        F.count_if(reason.isNull()).alias("cleaned"),
+        F.sum(lineage.row_print(RAW_COLUMNS)).cast("decimal(38,0)").alias("print"),
+    ]
+
+
 def conformed(judged: DataFrame) -> DataFrame:
     if "verdict" in judged.columns:
         judged = judged.filter(F.col("verdict") == ACCEPTED).drop("verdict")
@@ -305,11 +430,9 @@ def alert_rows(alerts: DataFrame, at: str) -> DataFrame:
     )
 
 
-def check_table(
-    warehouse: Warehouse, table: str, as_of: str, sample_rows: int | None = None
-) -> dict[str, DataFrame]:
+def check_table(warehouse: Warehouse, table: str, as_of: str) -> dict[str, DataFrame]:
     """Quality check of a stored table: results, summary, alerts, anomalies."""
-    results = quality.check(warehouse.tables()[table], table, sample_rows)
+    results = quality.check(warehouse.tables()[table], table)
     total = quality.summary(results)
     drops = trends.anomalies(warehouse.data_quality_metrics(), as_of)
     return {

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyhouse.functions.validation import passes_gate
 from tallyhouse.schemas import RAW_COLUMNS
@@ -20,24 +21,36 @@ def read_csv(
     """Every field as text, in file order; empty fields read as NULL.
 
     Columns are found by their names in the header. One that is absent is NULL
-    throughout, so its lines fail the gate. `multi_line` allows line breaks in
+    throughout, so its lines fail the gate. Each path has a header of its own;
+    the files of one folder share theirs, and a file that differs is an error,
+    not lines read in the wrong order. `multi_line` allows line breaks in
     quoted fields, at the price that a file is no longer split between tasks.
     """
-    found = (
+    reader = (
         spark.read.option("header", True)
         .option("sep", delimiter)
         .option("encoding", encoding)
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(path)
+        .option("enforceSchema", False)
     )
-    fit_shuffles(found)
-    columns = [
-        F.col(c) if c in found.columns else F.lit(None).cast("string").alias(c)
-        for c in RAW_COLUMNS
-    ]
-    given = [c for c in PROVENANCE if c in found.columns]
-    return in_order(found.select(*columns, *given))
+    # Paths of the same header are one scan.
+    headers: dict[tuple, list[str]] = {}
+    for one in [path] if isinstance(path, str) else path:
+        headers.setdefault(tuple(reader.csv(one).columns), []).append(one)
+    whole = None
+    for names, paths in headers.items():
+        kinds = StructType([StructField(n, StringType()) for n in names])
+        found = reader.schema(kinds).csv(paths)
+        fit_shuffles(found)
+        columns = [
+            F.col(c) if c in names else F.lit(None).cast("string").alias(c)
+            for c in [*RAW_COLUMNS, *PROVENANCE]
+        ]
+        part = found.select(columns)
+        whole = part if whole is None else whole.unionByName(part)
+    given = [c for c in PROVENANCE if any(c in names for names in headers)]
+    return in_order(whole.select(*RAW_COLUMNS, *given))
 
 
 def from_table(df: DataFrame) -> DataFrame:

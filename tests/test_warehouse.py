@@ -67,7 +67,10 @@ def test_two_loads(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "house"))
     raw = read_csv(spark, write(tmp_path / "1.csv", FIRST))
     counts = house.load(raw, CHECKS, "first", LOADED, source_file="1.csv")
-    assert counts == {"records_processed": 6, "records_cleaned": 4, "records_inserted": 4, "records_rejected": 2}
+    assert counts == {
+        "records_read": 7, "gate_rejected": 1, "records_processed": 6, "records_cleaned": 4,
+        "records_inserted": 4, "records_rejected": 2, "records_unresolved": 0,
+    }
     reasons = sorted(r.reject_reason for r in house.quarantine().collect())
     assert reasons == ["duplicate", "ingest_invalid", "unit_price_zero_quarantine"]
 
@@ -90,7 +93,13 @@ def test_two_loads(spark, tmp_path):
     assert later["85123A"].description.endswith("Large")
     assert {r.customer_id: r.country for r in house.dim_customer().collect()}["17850"] == "United Kingdom"
     keys = [r.sales_key for r in house.fact_sales().collect()]
-    assert len(keys) == len(set(keys)) == 6
+    assert len(keys) == len(set(keys)) == 6 and max(keys) <= len(FIRST) + len(SECOND)
+    assert {r.version_id for r in house.dim_product().collect()} == {1, 2}
+    assert {r.version_id for r in house.dim_customer().collect()} == {1, 2}
+    numbers = [r.version_number for r in house.data_versions().collect()]
+    assert len(set(numbers)) == 2
+    prints = {r.file_hash for r in house.data_versions().collect()}
+    assert len(prints) == 2
     assert sorted(r.version_id for r in house.data_versions().collect()) == [1, 2]
     assert house.data_lineage().count() == 2
     assert house.data_quality_metrics().count() == 14
@@ -101,9 +110,10 @@ def test_two_loads(spark, tmp_path):
     checked = check_table(house, "dim_customer", "2016-08-02")
     assert checked["summary"].first().total_checks == 3
 
-    house.summarise("2012-03-02", str(tmp_path / "summaries"))
-    stored = spark.read.parquet(str(tmp_path / "summaries" / "sales_summary")).first()
-    assert stored.total_transactions == 2
+    for _ in range(2):
+        house.summarise("2012-03-02", str(tmp_path / "summaries"))
+    stored = spark.read.parquet(str(tmp_path / "summaries" / "sales_summary")).collect()
+    assert [r.total_transactions for r in stored] == [2]
 
 
 def test_load_without_lines(spark, tmp_path):
@@ -128,7 +138,70 @@ def test_unfinished_load_is_invisible(spark, tmp_path, monkeypatch):
         with pytest.raises(RuntimeError):
             house.load(raw, CHECKS, "first", LOADED)
     assert house.fact_sales().isEmpty() and house.dim_product().isEmpty()
+    run = house.data_lineage().first()
+    assert (run.status, run.error_message, run.batch_id) == ("FAILED", "lost", "first")
     assert house.load(raw, CHECKS, "first", LOADED)["records_inserted"] == 4
+    assert sorted(r.status for r in house.data_lineage().collect()) == ["FAILED", "SUCCESS"]
+
+
+def test_no_line_is_lost(spark, tmp_path):
+    """A line total that no column holds, and a line without keys, are kept with their reason."""
+    house = Warehouse(spark, str(tmp_path / "house"))
+    rows = FIRST + [["536370", "BIG", "BIG", "2000000000", "2010-12-01 08:26:00", "99999999", "17850.0", "UK"]]
+    counts = house.load(read_csv(spark, write(tmp_path / "1.csv", rows)), CHECKS, "first", LOADED)
+    assert counts["records_read"] == counts["gate_rejected"] + counts["records_rejected"] + counts["records_inserted"]
+    kept = {r.InvoiceNo: r.reject_reason for r in house.quarantine().collect()}
+    assert kept["536370"] == "line_total_out_of_range"
+    assert "BIG" not in {r.stock_code for r in house.dim_product().collect()}
+
+
+def test_lines_without_keys_are_kept(spark, tmp_path, monkeypatch):
+    from tallyhouse.operators import fact
+
+    resolve = fact.resolve_keys
+    monkeypatch.setattr(fact, "resolve_keys", lambda lines, d, c, p: resolve(lines, d, c, p.filter("stock_code <> '71053'")))
+    house = Warehouse(spark, str(tmp_path / "house"))
+    counts = house.load(read_csv(spark, write(tmp_path / "1.csv", FIRST)), CHECKS, "first", LOADED)
+    assert (counts["records_unresolved"], counts["records_inserted"], counts["records_rejected"]) == (1, 3, 3)
+    lost = [r for r in house.quarantine().collect() if r.reject_reason == "unresolved_keys"]
+    assert [(r.InvoiceNo, r.UnitPrice) for r in lost] == [("536365", "3.39")]
+
+
+def test_two_streams_into_one_warehouse(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    for name, rows in (("a", FIRST), ("b", SECOND)):
+        os.mkdir(tmp_path / name)
+        write(tmp_path / name / "1.csv", rows)
+        incremental.load_available(house, str(tmp_path / name), str(tmp_path / f"progress-{name}"), CHECKS, LOADED)
+    assert house.fact_sales().count() == 6 and house.loads().count() == 2
+
+
+def test_plan_does_not_grow_with_the_loads(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    sizes = []
+    for n in range(3):
+        house.load(read_csv(spark, write(tmp_path / f"{n}.csv", SECOND)), CHECKS, f"load-{n}", LOADED)
+        sizes.append(house.fact_sales()._jdf.queryExecution().optimizedPlan().toString().count("Relation"))
+    assert sizes == [1, 1, 1]
+
+
+def test_archive_keeps_old_images(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    house.load(read_csv(spark, write(tmp_path / "1.csv", FIRST)), CHECKS, "first", LOADED)
+    before = house.fact_sales()
+    house.archive(before, before.filter("invoice_no <> 536367"), LOADED, "clerk")
+    rows = house.fact_sales_archive().collect()
+    assert [(r.operation, r.changed_by) for r in rows] == [("DELETE", "clerk")]
+    assert '"invoice_no":536367' in rows[0].payload
+
+
+def test_files_with_other_column_orders(spark, tmp_path):
+    first = write(tmp_path / "1.csv", FIRST[:1])
+    turned = [RAW_COLUMNS[1], RAW_COLUMNS[0], *RAW_COLUMNS[2:]]
+    second = write(tmp_path / "2.csv", [["B1", "536999", *FIRST[0][2:]]], turned)
+    rows = read_csv(spark, [first, second]).collect()
+    assert sorted((r.InvoiceNo, r.StockCode) for r in rows) == [("536365", "85123A"), ("536999", "B1")]
+    assert len({r.row_id for r in rows}) == 2
 
 
 def test_year_filter_prunes_partitions(spark, tmp_path):
@@ -149,7 +222,7 @@ def test_watched_folder_loads_each_file_once(spark, tmp_path):
     progress = str(tmp_path / "progress")
 
     def run():
-        incremental.load_available(house, str(inbox), progress, CHECKS, LOADED, files_per_batch=1)
+        incremental.load_available(house, str(inbox), progress, CHECKS, LOADED)
 
     run()
     assert house.fact_sales().count() == 4
