@@ -44,6 +44,25 @@ def test_exact_quantiles(spark, values):
     assert list(row) == pytest.approx([np.percentile(present, q * 100) for q in wanted.values()])
 
 
+def test_one_value_far_out_does_not_gather_the_rest(spark, monkeypatch):
+    """No step that is put in order has more values than allowed, and the answer stays exact."""
+    from tallyhouse.operators import quantiles
+
+    kept = []
+    span_of = quantiles._span_of
+
+    def watched(counted, *rest):
+        first, last, before = span_of(counted, *rest)
+        kept.append(counted.filter(F.col("x").between(first, last)).count())
+        return first, last, before
+
+    monkeypatch.setattr(quantiles, "_span_of", watched)
+    df = spark.range(20_001).select(F.when(F.col("id") == 20_000, 1e12).otherwise(F.col("id").cast("double")).alias("v"))
+    row = exact_quantiles(df, "v", {"q": 0.25, "m": 0.5}, most=100).first()
+    assert (row.q, row.m) == (5000.0, 10000.0)
+    assert max(kept) <= 100
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, "v", {"m": 0.5}).first().m is None

@@ -123,3 +123,14 @@ def test_trend(spark):
     total = trends.trend_summary(days).first()
     assert total.quality_trend == "DECLINING"
     assert (total.total_checks, total.poor_quality_days) == (5, 2)
+
+
+def test_plain_measures_meet_no_key(spark):
+    """Only the distinct count shuffles values; the counters combine into one row per task."""
+    from tallyhouse.operators import quality
+
+    df = spark.range(100).selectExpr("id AS sales_key", "id AS invoice_no", "id AS product_key")
+    suite = [quality.completeness("a", "invoice_no"), quality.completeness("b", "product_key"), quality.uniqueness("c", "sales_key")]
+    assert sorted((r.metric_name, r.hits) for r in quality.measure(df, "t", suite).collect()) == [("a", 100), ("b", 100), ("c", 100)]
+    plan = quality.measure(df, "t", suite[:2])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Exchange SinglePartition" in plan

@@ -113,6 +113,17 @@ def test_copies_that_share_a_position(spark):
         assert sum(r.reject_reason == "duplicate" for r in out) == 29
 
 
+def test_hot_invoice_with_leaps_in_its_numbers(spark):
+    """All lines of an invoice from one scan task, one from a far later task."""
+    rows = {at: r | {"InvoiceNo": "777777", "StockCode": f"S{at}"} for at, r in random_lines(6, 300).items()}
+    rows[5 << 33] = rows[0] | {"StockCode": "LAST", "CustomerID": "", "UnitPrice": "2", "Quantity": "1"}
+    expected = loop(rows)
+    found = judged(spark, rows, hot_rows=20)
+    assert {a: r for a, (_, r) in found.items()} == {a: r for a, (_, r) in expected.items()}
+    chunks = {at // 5 for at in rows}
+    assert max(sum(at // 5 == c for at in rows) for c in chunks) <= 5
+
+
 def test_gate_failures_keep_their_own_reason(spark):
     rows = random_lines(4, 5)
     rows[0]["Quantity"] = "abc"
