@@ -29,7 +29,7 @@ from tallyhouse.operators import (
 from tallyhouse.plans.oracle_views import VIEWS
 from tallyhouse.plans.oracle_views import query as sql
 from tallyhouse.plans.warehouse import Warehouse, alert_rows
-from tallyhouse.schemas import RAW_COLUMNS
+from tallyhouse.schemas import RAW_COLUMNS, TABLES
 from tallyhouse.session import new_folder, tune
 from tallyhouse.sources import files
 from tallyhouse.sources.testdata import (
@@ -1549,9 +1549,28 @@ def change_archive(spark, sf_dir):
     )
 
 
-@register("column_catalog")
+def _declared() -> str:
+    """The declared columns of all tables as rows of text, for the check of what is read back."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    return ", ".join(
+        f"({quoted(name)}, {quoted(catalog.TABLE_DESCRIPTIONS.get(name, f'Table: {name}'))}, {quoted(field.name)}, {place},"
+        f" {quoted(field.dataType.simpleString())}, true, {quoted(catalog.COLUMN_DESCRIPTIONS.get((name, field.name), f'Column: {field.name}'))})"
+        for name, schema in sorted(TABLES.items())
+        for place, field in enumerate(schema, start=1)
+    )
+
+
+@register(
+    "column_catalog",
+    "SELECT v.*, s.row_count AS rows, CASE WHEN s.row_count = 0 OR v.column_name IN ('source_file', 'error_message', 'expiry_date') THEN 0"
+    " ELSE s.row_count END AS non_null FROM (VALUES "
+    + _declared()
+    + ") v(table_name, table_description, column_name, ordinal_position, data_type, is_nullable, column_description)"
+    f" JOIN ({_SIZES}) s ON v.table_name = s.table_name",
+    _SUITE_VIEWS,
+)
 def column_catalog(spark, sf_dir):
-    """Columns with their types and meaning, and how many values they hold."""
+    """Columns of all ten tables with their types and meaning, and how many values they hold."""
     tables = warehouse(spark, sf_dir).tables()
     described = catalog.column_catalog(spark, tables)
     return described.join(catalog.filled_columns(tables), ["table_name", "column_name"])
