@@ -41,6 +41,7 @@ def python_rule(
     return Rule(name, columns, lambda c: batch(c), **options)
 
 
+# The names of the rules, here and below.
 CLEANING_RULES = [
     Rule("clean_invoice_no", ["InvoiceNo"], cleaning.clean_invoice_no),
     Rule("clean_stock_code", ["StockCode"], cleaning.clean_stock_code),

@@ -9,6 +9,7 @@ from tallyhouse.operators.fact import since
 def sales_summary(
     fact: DataFrame, as_of: str, days: int = 30, approximate: bool = False
 ) -> DataFrame:
+    """Totals of the trailing days. `approximate` customers and products have a standard error of five percent."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct
     total = F.coalesce(F.sum("line_total"), F.lit(0).cast("decimal(15,2)"))
     return since(fact, as_of, days).agg(
@@ -92,6 +93,8 @@ def recent_sales(fact: DataFrame, limit: int = 100) -> DataFrame:
         F.desc("line_total"),
         "invoice_no",
         "product_key",
+        "transaction_type",
+        "sales_key",
     ).limit(limit)
 
 

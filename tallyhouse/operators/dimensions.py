@@ -116,25 +116,18 @@ def new_customers(attributes: DataFrame, after: Column, loaded_at: str, source:
     )
 
 
-def upsert_products(
+def changed_products(
     existing: DataFrame, attributes: DataFrame, loaded_at: str, source: str = "CSV"
 ) -> DataFrame:
-    """Overwrite the attributes of known products, keep their keys, add the rest."""
+    """The rows an upsert writes: known products with their new attributes and old keys, and new products."""
     incoming = attributes.select(
-        "stock_code",
-        F.lit(True).alias("_found"),
-        *[F.col(c).alias(f"_{c}") for c in attributes.columns if c != "stock_code"],
+        "stock_code", *[F.col(c).alias(f"_{c}") for c in attributes.columns if c != "stock_code"]
     )
-    now = F.lit(loaded_at).cast("timestamp_ntz")
-    found = F.col("_found")
-    updated = existing.join(incoming, "stock_code", "left").withColumns(
+    updated = existing.join(incoming, "stock_code").withColumns(
         {
-            **{
-                c: F.when(found, F.col(f"_{c}")).otherwise(F.col(c))
-                for c in ("description", "category", "subcategory", "is_gift")
-            },
-            "updated_at": F.when(found, now).otherwise(F.col("updated_at")),
-            "data_source": F.when(found, F.lit(source)).otherwise(F.col("data_source")),
+            **{c: F.col(f"_{c}") for c in ("description", "category", "subcategory", "is_gift")},
+            "updated_at": F.lit(loaded_at).cast("timestamp_ntz"),
+            "data_source": F.lit(source),
         }
     )
     unknown = attributes.join(existing.select("stock_code"), "stock_code", "left_anti")
@@ -142,20 +135,40 @@ def upsert_products(
     return _typed(updated, DIM_PRODUCT).unionByName(added)
 
 
+def upsert_products(
+    existing: DataFrame, attributes: DataFrame, loaded_at: str, source: str = "CSV"
+) -> DataFrame:
+    """Overwrite the attributes of known products, keep their keys, add the rest."""
+    untouched = existing.join(attributes.select("stock_code"), "stock_code", "left_anti")
+    return _typed(untouched, DIM_PRODUCT).unionByName(
+        changed_products(existing, attributes, loaded_at, source)
+    )
+
+
+def absent_customers(
+    existing: DataFrame, attributes: DataFrame, loaded_at: str, source: str = "CSV"
+) -> DataFrame:
+    """Rows for the customers the dimension does not hold yet."""
+    unknown = attributes.join(existing.select("customer_id"), "customer_id", "left_anti")
+    return new_customers(unknown, highest(existing, "customer_key"), loaded_at, source)
+
+
 def insert_absent_customers(
     existing: DataFrame, attributes: DataFrame, loaded_at: str, source: str = "CSV"
 ) -> DataFrame:
     """Add unknown customers; known ones stay exactly as they are."""
-    unknown = attributes.join(existing.select("customer_id"), "customer_id", "left_anti")
-    added = new_customers(unknown, highest(existing, "customer_key"), loaded_at, source)
+    added = absent_customers(existing, attributes, loaded_at, source)
     return _typed(existing, DIM_CUSTOMER).unionByName(added)
 
 
+def absent_dates(existing: DataFrame, days: DataFrame) -> DataFrame:
+    """Days the dimension does not hold yet; `days` comes from date_dimension."""
+    return _typed(days.join(existing.select("date_key"), "date_key", "left_anti"), DIM_DATE)
+
+
 def insert_absent_dates(existing: DataFrame, days: DataFrame) -> DataFrame:
-    """Add days the dimension does not hold yet; `days` comes from date_dimension."""
-    known = existing.select("date_key")
-    added = days.join(known, "date_key", "left_anti")
-    return _typed(existing, DIM_DATE).unionByName(_typed(added, DIM_DATE))
+    """Add days the dimension does not hold yet."""
+    return _typed(existing, DIM_DATE).unionByName(absent_dates(existing, days))
 
 
 def customer_history(lines: DataFrame) -> DataFrame:

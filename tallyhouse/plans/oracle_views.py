@@ -130,6 +130,7 @@ VIEWS["judged"] = """
         FROM filled"""
 VIEWS["accepted"] = "SELECT * FROM judged WHERE reject_reason IS NULL"
 
+# Codes with a category of their own; below, types with their sign.
 _SPECIAL = {
     "AMAZONFEE": ("Fees", "Marketplace Fee", False),
     "BANKCHARGES": ("Fees", "Bank Charge", False),

@@ -1079,7 +1079,7 @@ def count_sales(spark, sf_dir):
     f"""
     SELECT '{LOADED_AT}' AS created_at, CAST(transaction_datetime AS VARCHAR) AS transaction_datetime,
       CAST(line_total AS DOUBLE) AS line_total, invoice_no, product_key, quantity
-    FROM fact f ORDER BY f.transaction_datetime DESC, f.line_total DESC, invoice_no, product_key LIMIT 100""",
+    FROM fact f ORDER BY f.transaction_datetime DESC, f.line_total DESC, invoice_no, product_key, transaction_type LIMIT 100""",
 )
 def recent_sales(spark, sf_dir):
     return analytics.recent_sales(warehouse(spark, sf_dir).fact_sales()).select(

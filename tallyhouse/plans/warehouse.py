@@ -9,7 +9,7 @@ and a batch that is already in the log is not loaded again.
     <root>/judged/load_id=.../verdict=...  every raw line with its verdict
     <root>/unresolved/load_id=...          accepted lines that found no keys
     <root>/fact_sales/load_id=...          accepted lines, by year
-    <root>/dim_*/load_id=...               whole dimension after the load
+    <root>/dim_*/load_id=...               members the load added, products also those it changed
     <root>/data_*/load_id=...              versions, lineage, quality rows of the load
     <root>/failed_runs                     lineage rows of loads that failed
 """
@@ -64,32 +64,38 @@ class Warehouse:
         rows = self.loads().orderBy("load_no").select("folder").collect()
         return [r.folder for r in rows]
 
-    def _all(self, table: str, schema, folders: list[str] | None = None) -> DataFrame:
+    def _all(self, table: str, schema, folders: list[str] | None = None, extra: tuple = ()) -> DataFrame:
         """One scan over the table's folders of all finished loads, however many they are."""
         folders = self._folders() if folders is None else folders
         if not folders:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.createDataFrame([], schema).withColumns({c: F.lit(None) for c in extra})
         found = self.spark.read.option("basePath", f"{self.root}/{table}").schema(schema)
-        names = [f.name for f in schema]
+        names = [f.name for f in schema] + list(extra)
         return found.parquet(*[self._place(table, f) for f in folders]).select(names)
 
     def _place(self, table: str, folder: str) -> str:
         return f"{self.root}/{table}/load_id={folder}"
 
-    def _latest(self, table: str, schema, folders: list[str] | None = None) -> DataFrame:
-        return self._all(table, schema, (self._folders() if folders is None else folders)[-1:])
+    def _products(self, folders: list[str]) -> DataFrame:
+        """The last row written of each product; a load's id begins with its number."""
+        rows = self._all("dim_product", schemas.DIM_PRODUCT, folders, extra=("load_id",))
+        if len(folders) < 2:
+            return rows.drop("load_id")
+        fields = [f.name for f in schemas.DIM_PRODUCT]
+        last = rows.groupBy("product_key").agg(F.max_by(F.struct(*fields), "load_id").alias("p"))
+        return last.select([F.col(f"p.{n}").alias(n) for n in fields])
 
     def fact_sales(self) -> DataFrame:
         return self._all("fact_sales", schemas.FACT_SALES)
 
     def dim_date(self) -> DataFrame:
-        return self._latest("dim_date", schemas.DIM_DATE)
+        return self._all("dim_date", schemas.DIM_DATE)
 
     def dim_customer(self) -> DataFrame:
-        return self._latest("dim_customer", schemas.DIM_CUSTOMER)
+        return self._all("dim_customer", schemas.DIM_CUSTOMER)
 
     def dim_product(self) -> DataFrame:
-        return self._latest("dim_product", schemas.DIM_PRODUCT)
+        return self._products(self._folders())
 
     def data_versions(self) -> DataFrame:
         return self._all("data_versions", schemas.DATA_VERSIONS)
@@ -133,15 +139,12 @@ class Warehouse:
             "data_quality_alerts": schemas.DATA_QUALITY_ALERTS,
             "data_quality_metrics": schemas.DATA_QUALITY_METRICS,
             "data_versions": schemas.DATA_VERSIONS,
-            "fact_sales": schemas.FACT_SALES,
-        }
-        current = {
             "dim_customer": schemas.DIM_CUSTOMER,
             "dim_date": schemas.DIM_DATE,
-            "dim_product": schemas.DIM_PRODUCT,
+            "fact_sales": schemas.FACT_SALES,
         }
         found = {n: self._all(n, schema, folders) for n, schema in stored.items()}
-        found |= {n: self._latest(n, schema, folders) for n, schema in current.items()}
+        found["dim_product"] = self._products(folders)
         found["data_lineage"] = self.data_lineage(folders)
         found["dim_transaction_type"] = transform.transaction_types(self.spark)
         found["fact_sales_archive"] = self.fact_sales_archive()
@@ -193,7 +196,7 @@ class Warehouse:
 
     def _load(self, raw: DataFrame, checks, done: DataFrame, run: "_Run", hot_rows: int) -> dict[str, int]:
         load_no = (done.agg(F.max("load_no")).first()[0] or 0) + 1
-        folder = uuid.uuid4().hex
+        folder = f"{load_no:08d}-{uuid.uuid4().hex}"
         home = partial(self._place, folder=folder)
 
         # The one pass over the source. What follows reads the stored lines, whose numbers are fixed from here on.
@@ -211,14 +214,10 @@ class Warehouse:
         lines = conformed(judged)
 
         self._write_dimensions(lines, home, run.loaded_at, run.source, load_no)
-        dates, customers, products = (
-            self.spark.read.schema(schema).parquet(home(table))
-            for table, schema in (
-                ("dim_date", schemas.DIM_DATE),
-                ("dim_customer", schemas.DIM_CUSTOMER),
-                ("dim_product", schemas.DIM_PRODUCT),
-            )
-        )
+        known = [*self._folders(), folder]
+        dates = self._all("dim_date", schemas.DIM_DATE, known)
+        customers = self._all("dim_customer", schemas.DIM_CUSTOMER, known)
+        products = self._products(known)
         written = Observation()
         # Stored, so that Spark knows how few rows they are.
         starts = fact.line_starts(landed)
@@ -279,7 +278,7 @@ class Warehouse:
     def _write_dimensions(
         self, lines: DataFrame, home: Callable[[str], str], loaded_at: str, source: str, load_no: int
     ) -> None:
-        """Members first, keys second.
+        """Members first, keys second; only new and changed members are written.
 
         Assigning keys reads the members more than once, so what the lines say
         about them is worked out and stored before. None of the three
@@ -295,11 +294,11 @@ class Warehouse:
         )
         found = {n: self.spark.read.parquet(home(f"{n}_members")) for n in members}
         frames = {
-            "dim_date": dimensions.insert_absent_dates(self.dim_date(), found["dim_date"]),
-            "dim_product": dimensions.upsert_products(
+            "dim_date": dimensions.absent_dates(self.dim_date(), found["dim_date"]),
+            "dim_product": dimensions.changed_products(
                 self.dim_product(), found["dim_product"], loaded_at, source
             ),
-            "dim_customer": dimensions.insert_absent_customers(
+            "dim_customer": dimensions.absent_customers(
                 self.dim_customer(), found["dim_customer"], loaded_at, source
             ),
         }

@@ -22,10 +22,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-# Above this many tasks per shuffle, bookkeeping costs more than spilling does.
-_MOST_PARTITIONS = 100_000
-
-
 def fit_shuffles(scan: DataFrame) -> int:
     """Start shuffles with enough partitions for the input; returns its tasks.
 
@@ -36,7 +32,7 @@ def fit_shuffles(scan: DataFrame) -> int:
     spark = scan.sparkSession
     tasks = scan.rdd.getNumPartitions()
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(configured, min(2 * tasks, _MOST_PARTITIONS))
+    wanted = max(configured, 2 * tasks)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
     return tasks
 
