@@ -137,7 +137,8 @@ def measured(found: DataFrame, pieces: DataFrame, before: DataFrame, after: Data
         .groupBy("candidate")
         .agg(F.avg(F.col("weight").isNotNull().cast("double")).alias("coverage"), F.avg(F.coalesce("weight", F.lit(0.0))).alias("commonness"))
     )
-    return out.join(looked, "candidate")
+    # From a table, so that a candidate many documents have can be split between tasks.
+    return out.join(stored(looked, "looked-up"), "candidate")
 
 
 def weak_label(found: DataFrame) -> Column:
