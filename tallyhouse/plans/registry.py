@@ -793,7 +793,7 @@ def conformed_lines(spark, sf_dir):
     """Raw text to conformed lines in one plan, without the stored warehouse."""
     stamped = files.stamp(sales_view(spark, sf_dir), BATCH, LOADED_AT)
     scan = sales_view(spark, sf_dir, ["InvoiceNo"])
-    return transform.conform(verdict.accepted(verdict.judge(stamped, CHECKS, invoice_scan=scan)))
+    return transform.conform(verdict.accepted(verdict.judge(stamped, CHECKS, invoice_scan=scan))).drop("row_id")
 
 
 @register(
