@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import NO_ID, stored
-from tallyhouse.llm.words import folded_words, gram_hashes, positions, words
+from tallyhouse.llm.words import folded_words, gram_hashes, words
 
 SPAN, GRAM = 10, 5
 
@@ -88,8 +88,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GR
     tried = []
     for n in [*short, span]:
         size = gram if n == span else n
-        here = texts.filter(F.col("size") == n).withColumn("g", gram_hashes(F.col("f"), size))
-        at = F.filter(positions(F.col("f"), size), lambda i: F.array_contains(F.col("found"), F.get(F.col("g"), i)))
+        here = texts.filter(F.col("size") == n)
+        # The hashes are what is gone through, never looked up from inside: Spark would make them anew for each.
+        at = F.transform(gram_hashes(F.col("f"), size), lambda h, i: F.when(F.array_contains(F.col("found"), h), i))
+        at = F.array_compact(at)
         if n == span:  # every span that holds the run
             around = F.transform(at, lambda p: F.sequence(F.greatest(p - (span - gram), F.lit(0)), F.greatest(p, F.lit(0))))
             at = F.filter(F.array_distinct(F.flatten(around)), lambda s: s + span <= F.size("w"))
