@@ -37,7 +37,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     found = jaccard_join.classes(docs)
     others = stored(found.filter("component_id <> doc_id").select("doc_id").distinct(), "duplicates")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    # A share of all documents, and so no side to send to every task.
+    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

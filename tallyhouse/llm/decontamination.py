@@ -83,7 +83,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GR
     # One row per document and size; a document cannot have more fingerprints than words.
     near = stored(near.groupBy("_id", "_row", "size").agg(F.collect_set("fingerprint").alias("found")), "near")
 
-    texts = _keyed(docs).join(near, ["_id", "_row"])
+    # The documents that remain are a share of all, so they are no side to send to every task.
+    texts = _keyed(docs).join(near.hint("merge"), ["_id", "_row"])
     texts = texts.withColumn("f", folded_words(F.col("text"))).withColumn("w", words(F.col("text")))
     tried = []
     for n in [*short, span]:
@@ -147,6 +148,6 @@ def report(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int =
 
 def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """The rows without a hit, unchanged."""
-    judged = stored(verdicts(docs, benchmark, span, gram), "verdicts").select("_id", "_row")
+    judged = stored(verdicts(docs, benchmark, span, gram), "verdicts").select("_id", "_row").hint("merge")
     same = (F.coalesce(docs["doc_id"], F.lit(NO_ID)) == judged["_id"]) & (F.xxhash64(docs["text"]) == judged["_row"])
     return docs.join(judged, same, "left_anti")
