@@ -77,9 +77,12 @@ def repeated(found: DataFrame) -> DataFrame:
         .filter("low <> high")
         .select("fingerprint")
     )
-    near = found.join(shared, "fingerprint", "left_semi").select("doc_id", "row", "start", "lines", "content")
+    # Both sides of each join come from tables, so that a line a third of all documents have is split between tasks.
+    near = found.join(stored(shared, "shared-lines"), "fingerprint", "left_semi")
+    near = stored(near.select("doc_id", "row", "start", "lines", "content"), "near-lines")
     first = near.groupBy("content").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count("*").alias("n"))
-    later = near.join(first.filter("n > 1"), "content").filter(F.struct("doc_id", "row", "start") > F.col("first"))
+    first = stored(first.filter("n > 1").select("content", "first"), "first-lines")
+    later = near.join(first, "content").filter(F.struct("doc_id", "row", "start") > F.col("first"))
     return later.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "lines")).alias("spans"))
 
 
