@@ -14,6 +14,9 @@ from tallyhouse.llm import decontamination, jaccard_join, line_dedup, packing, q
 from tallyhouse.llm.common import ship, stored, table
 from tallyhouse.llm.tokens import tokenizer_path
 
+#: Near duplicates share so many hundredths of their runs of so many words; op8_jaccard_join alone has its own measure.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier does not reject, unchanged."""
@@ -35,7 +38,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near duplicates the document with the least id, unchanged."""
     ship(spark)
-    found = jaccard_join.classes(docs)
+    found = jaccard_join.classes(docs, percent=NEAR_PERCENT, size=NEAR_WORDS)
     others = stored(found.filter("component_id <> doc_id").select("doc_id").distinct(), "duplicates")
     # A share of all documents, and so no side to send to every task.
     return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*docs.columns)

@@ -4,7 +4,7 @@ from tallyhouse.llm import decontamination, jaccard_join, line_dedup
 from tallyhouse.llm.common import stored
 from tests.conftest import SF_DIR
 from tests.llm import cases
-from tests.llm.test_jaccard_join import plain_classes
+from tests.llm.test_jaccard_join import families, plain_classes, plain_set
 from tests.llm.test_lines_and_spans import plain_hits, plain_lines
 
 
@@ -47,6 +47,29 @@ def test_stages_equal_the_plain_versions(spark):
     assert pieces.select("doc_id").distinct().count() == clean.count()
 
 
+def least_of_near_copies(rows, size=5, percent=80):
+    """Least id of each class over all pairs whose runs of `size` words are alike."""
+    sets, least = {i: plain_set(t, size) for i, t in rows}, {i: i for i, _ in rows}
+    for i in sets:
+        for j in sets:
+            both = len(sets[i] & sets[j])
+            if i < j and both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                low, high = sorted((least[i], least[j]))
+                least = {k: low if c == high else c for k, c in least.items()}
+    return set(least.values())
+
+
+def test_near_copies_share_runs_of_five_words(spark):
+    """Four scattered words of 200 leave five-word runs 0.81 alike, three-word runs 0.89; five words 0.77."""
+    words = cases.prose(7, 200, 4000).split()
+    changed = lambda at: " ".join("other" if i in at else w for i, w in enumerate(words))
+    rows = [(1, changed(())), (2, changed((20, 60, 100, 140))), (3, changed((10, 50, 90, 130, 170)))]
+    rows += [(100 + i, t) for i, t in families(3, 25, (22, 40, 150, 400))]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], cases.SCHEMA).repartition(4)
+    left = {r.doc_id for r in dict(corpus_pipeline.STAGES)["n-gram jaccard join"](spark, docs, SF_DIR).collect()}
+    assert left == least_of_near_copies(rows) and 2 not in left and 3 in left
+
+
 def test_stages_on_odd_rows(spark, tmp_path):
     """All rows go through all stages, and an empty table too."""
     spark.createDataFrame([(1, "equal rows are here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
