@@ -106,7 +106,7 @@ def measured(found: DataFrame, pieces: DataFrame, before: DataFrame, after: Data
         .withColumn("digit_share", count("[0-9]") / n)
         .withColumn("upper_share", count("[A-Z]") / n)
         .withColumn("mark_share", count("[_+/=-]") / n)
-        .withColumn("hex_share", count("[0-9a-f]") / n)
+        .withColumn("hex_share", count("[0-9a-fA-F]") / n)
         .withColumn("vowel_turns", turns("(?=(?:vk|kv|VC|CV))."))
         .withColumn("consonant_pairs", turns("(?=(?:kk|CC))."))
         .withColumn("digit_pairs", turns("(?=dd)."))
@@ -144,7 +144,8 @@ def measured(found: DataFrame, pieces: DataFrame, before: DataFrame, after: Data
 def weak_label(found: DataFrame) -> Column:
     """1 where the form alone gives a secret away, as a person labelling findings would read it; 0 otherwise."""
     key_id = F.col("candidate").rlike(r"^AKIA[0-9A-Z]{16}$")
-    code = F.col("candidate").rlike(r"^[0-9a-f]{16,64}$") & F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[a-f]")
+    form = F.col("candidate").rlike(r"^([0-9a-f]{16,64}|[0-9A-F]{16,64})$")
+    code = form & F.col("candidate").rlike("[0-9]") & F.col("candidate").rlike("[a-fA-F]")
     assigned = F.concat_ws(" ", "before2", "before", "lead").rlike(r"(?i)(token|secret|password|key)\s*[=:]\s*[\"']?$")
     return (key_id | code & assigned).cast("int")
 

@@ -150,6 +150,19 @@ def test_secrets_are_told_from_words(spark):
     assert {r.at for r in found if r.doc_id % 4 == 0} == {23}
 
 
+def test_upper_case_codes_are_secrets(spark):
+    draw, rows = random.Random(6), []
+    for i in range(200):
+        code = "".join(draw.choice("0123456789abcdef") for _ in range(40))
+        text = (f'token = "{code}"', f'TOKEN = "{code.upper()}"', "a longwordmadeofletters here", f"commit {draw.randrange(10**17, 10**18)} done")[i % 4]
+        rows.append((i, cases.prose(i, 20) + " " + text, "src"))
+    found = secrets.find(spark.createDataFrame(rows, "doc_id long, text string, source string"), quality_gam.fold(3) == 0).collect()
+    assert len(found) == 200 and all(r.labelled == (r.doc_id % 4 < 2) for r in found)
+    held = [r for r in found if r.held_out and r.doc_id % 4 == 1]
+    assert held and np.mean([r.is_secret for r in held]) >= 0.95
+    assert {r.labelled for r in secrets.find(spark.createDataFrame([(1, 'TOKEN = "0123456789abcdefABCDEF01"', "src")], "doc_id long, text string, source string"), F.lit(True)).collect()} == {0}
+
+
 def test_secrets_of_odd_rows(spark):
     docs = cases.documents(spark)
     more = docs.unionByName(spark.createDataFrame([(None, 'password="0123456789abcdef01" ' + "x" * 500, None, None, 1)], cases.SCHEMA))
