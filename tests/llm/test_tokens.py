@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyhouse.llm import packing, token_files
@@ -107,6 +108,17 @@ def test_neighbours_share_words():
     assert sum(len(s) == 1 for s in by_sequence.values()) >= 0.7 * len(by_sequence)
 
 
+def test_neighbours_meet_among_many_shards(spark, monkeypatch):
+    """Pairs of near copies, far more of them than a shard holds: nearly all are packed into one window."""
+    monkeypatch.setattr(packing, "SHARD_DOCS", 16)
+    rows = [(2 * i + k, cases.prose(i, 300, 20_000) + f" end{k}") for i in range(120) for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    shards = {}
+    for r in packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json")).collect():
+        shards.setdefault(r.doc_id // 2, {}).setdefault(r.doc_id % 2, set()).add(r.sequence_id)
+    assert len(shards) == 120 and sum(bool(s[0] & s[1]) for s in shards.values()) >= 0.8 * 120
+
+
 def test_packed_documents(spark):
     docs = cases.documents(spark, extra=True).filter("doc_id is null or doc_id not in (10, 990)")
     found = packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json")).collect()
