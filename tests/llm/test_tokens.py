@@ -119,6 +119,15 @@ def test_neighbours_meet_among_many_shards(spark, monkeypatch):
     assert len(shards) == 120 and sum(bool(s[0] & s[1]) for s in shards.values()) >= 0.8 * 120
 
 
+def test_rows_without_id_and_equal_rows_are_split(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_DOCS", 16)
+    docs = spark.createDataFrame([(None if i % 2 else 5, "the same text " * 20) for i in range(400)], "doc_id long, text string").repartition(4)
+    found = packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
+    assert found.select(F.shiftright("sequence_id", 40)).distinct().count() > 3
+    total = {r.doc_id: r.n for r in found.groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert total[5] == total[None] == 200 * found.first().doc_tokens
+
+
 def test_packed_documents(spark):
     docs = cases.documents(spark, extra=True).filter("doc_id is null or doc_id not in (10, 990)")
     found = packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json")).collect()
