@@ -28,7 +28,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Texts without later repeated runs of lines, n_chars counted anew; a text that was nothing else goes."""
     ship(spark)
     out = line_dedup.dedup_lines(docs)
-    left = (F.col("_removed") == 0) | (F.length(F.trim("text")) > 0)
+    left = (F.col("_removed") == 0) | F.col("text").rlike(r"\S")
     out = out.filter(left)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))

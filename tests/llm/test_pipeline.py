@@ -47,6 +47,14 @@ def test_stages_equal_the_plain_versions(spark):
     assert pieces.select("doc_id").distinct().count() == clean.count()
 
 
+def test_copies_with_blank_lines_go(spark):
+    """Nothing but line feeds is left of the copy."""
+    text = "\n\n".join(cases.prose(i, 60) for i in (1, 2, 3))
+    docs = spark.createDataFrame([(i, text, "en", "src0", len(text)) for i in (1, 2)], cases.SCHEMA)
+    left = dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, SF_DIR).collect()
+    assert [(r.doc_id, r.text) for r in left] == [(1, text)]
+
+
 def least_of_near_copies(rows, size=5, percent=80):
     """Least id of each class over all pairs whose runs of `size` words are alike."""
     sets, least = {i: plain_set(t, size) for i, t in rows}, {i: i for i, _ in rows}
