@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontamination, fingerprints, jaccard_join, licenses, line_dedup, packing, quality_gam, secrets, token_files, toxicity
+from tallyhouse.llm import decontamination, fingerprints, jaccard_join, licenses, line_dedup, packing, quality_gam, ranked_search, secrets, token_files, toxicity
 from tallyhouse.llm.common import table
 from tallyhouse.llm.tokens import tokenizer_path
 
@@ -59,6 +59,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_line_dedup": op2_line_dedup,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
+    "op11_ranked_search": op11_ranked_search,
 }
 
-ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE}
+ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE, "op11_ranked_search": ranked_search.ORACLE}
