@@ -150,11 +150,11 @@ def pack_shard(
     return pieces
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int, byte_level: bool) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """row, doc_id, n and ids of every row: ids in 16 bits where they fit, in 32 otherwise. row: a number of its own."""
 
     def encode(batches):
-        of = encoder(tokenizer, byte_level).encode
+        of = encoder(tokenizer).encode
         for batch in batches:
             ids = [np.append(of(text), np.uint32(end_id)) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -208,9 +208,9 @@ def corpus_weights(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
     return idf, shared, total / max(1, docs)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, byte_level: bool = True) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
     """All pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    rows = encoded(docs, tokenizer, end_id, byte_level)
+    rows = encoded(docs, tokenizer, end_id)
     idf, shared, mean = corpus_weights(rows)
 
     def locate(batches):

@@ -109,7 +109,7 @@ class Reader:
         return unpack(raw, self.bits)[start - first * LANES :][:n]
 
 
-def write_files(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, byte_level: bool = False) -> DataFrame:
+def write_files(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
     """Encode every text, write the files, return the manifest: bucket, path, n_docs, n_tokens, start.
 
     Only files the manifest names count; an attempt that was lost leaves a file nobody reads.
@@ -121,7 +121,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, b
     store.create_dir(place, recursive=True)
 
     def write(batches):
-        encode, file = encoder(tokenizer, byte_level).encode, None
+        encode, file = encoder(tokenizer).encode, None
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(3)]
             for bucket, doc_id, text in zip(*columns, strict=True):
