@@ -70,18 +70,26 @@ class Index:
         )
 
 
-def place(tail: np.ndarray, idf: np.ndarray) -> list[int]:
+def draws(idf: np.ndarray) -> np.ndarray:
+    """PLACES draws for each term, the smaller the more weight the term has; terms without weight are out of reach."""
+    seeds = mix(np.arange(1, PLACES + 1, dtype=np.uint64))[:, None]
+    u = ((mix(np.arange(len(idf), dtype=np.uint64) + seeds) >> np.uint64(11)).astype(np.float64) + 1) / 2.0**53
+    with np.errstate(divide="ignore"):
+        return -np.log(u) / idf
+
+
+def place(tail: np.ndarray, draws: np.ndarray) -> list[int]:
     """PLACES min-hashes: two documents have one in common as likely as the share of weight their terms have in common.
 
-    Terms of one document alone have no weight in idf; without any other the document has no neighbours.
+    Terms of one document alone have no weight; without any other the document has no neighbours.
     """
-    terms = np.unique(tail)
-    terms = terms[idf[terms] > 0]
-    if not len(terms):
+    if not len(tail):
         return [-1] * PLACES
-    seeds = mix(np.arange(1, PLACES + 1, dtype=np.uint64))[:, None]
-    u = ((mix(terms.astype(np.uint64) + seeds) >> np.uint64(11)).astype(np.float64) + 1) / 2.0**53
-    return terms[np.argmin(-np.log(u) / idf[terms], axis=1)].tolist()
+    drawn = draws[:, tail]
+    least = drawn.argmin(axis=1)
+    if not np.isfinite(drawn[0, least[0]]):
+        return [-1] * PLACES
+    return tail[least].tolist()
 
 
 def pack_shard(
@@ -214,8 +222,9 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFram
     idf, shared, mean = corpus_weights(rows)
 
     def locate(batches):
+        drawn = draws(shared)
         for batch in batches:
-            at = [place(_tail(_ids(raw, n)), shared) for n, raw in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            at = [place(_tail(_ids(raw, n)), drawn) for n, raw in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.list_(pa.int32()))], [*batch.schema.names, "place"])
 
     def pack(batches):
@@ -253,5 +262,6 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFram
 
     located = rows.mapInArrow(locate, "row long, doc_id long, n long, ids binary, place array<int>")
     # The row's number is stored, so documents of one place are split between tasks, and a repeated task packs alike.
+    # The places are found twice, for the ranges and for the rows: that is less work than to store all ids again.
     parts = max(1, math.ceil(rows.count() / (4 * SHARD_DOCS)))
-    return stored(located, "located").repartitionByRange(parts, "place", "row").sortWithinPartitions("place", "row").select("doc_id", "n", "ids").mapInArrow(pack, PIECES)
+    return located.repartitionByRange(parts, "place", "row").sortWithinPartitions("place", "row").select("doc_id", "n", "ids").mapInArrow(pack, PIECES)
