@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontamination, fingerprints, jaccard_join, licenses, line_dedup, packing, quality_gam, ranked_search, secrets, token_files, toxicity
+from tallyhouse.llm import decontamination, fingerprints, jaccard_join, licenses, line_dedup, packing, quality_gam, ranked_search, secrets, token_alignment, token_files, toxicity
 from tallyhouse.llm.common import table
 from tallyhouse.llm.tokens import tokenizer_path
 
@@ -63,6 +63,12 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(
+        table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_line_dedup": op2_line_dedup,
@@ -75,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_toxicity": op10_toxicity,
     "op11_ranked_search": op11_ranked_search,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE, "op11_ranked_search": ranked_search.ORACLE}
