@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import decontamination, fingerprints, jaccard_join, licenses, line_dedup, packing, quality_gam, ranked_search, secrets, token_alignment, token_files, toxicity
+from tallyhouse.llm import decontamination, fingerprints, jaccard_join, licenses, line_dedup, minhash_dedup, packing, quality_gam, ranked_search, secrets, token_alignment, token_files, toxicity
 from tallyhouse.llm.common import table
 from tallyhouse.llm.tokens import tokenizer_path
 
@@ -69,6 +69,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_line_dedup": op2_line_dedup,
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
     "op11_ranked_search": op11_ranked_search,
     "op12_token_alignment": op12_token_alignment,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
 ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE, "op11_ranked_search": ranked_search.ORACLE}
