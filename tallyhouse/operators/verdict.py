@@ -10,6 +10,9 @@ line each rule feeds the other, but they have a closed form:
 * the first of those lines per invoice and stock code is accepted;
 * a missing customer is the last customer named on an accepted line before.
 
+What earlier loads of a feed have accepted can be given along: it stands before
+all lines of its invoice, as lines that are not judged again.
+
 Invoices of ordinary size are settled in one pass of windows over one shuffle.
 An invoice of more than `hot_rows` lines never meets in one task: it takes the
 aggregate path, which shuffles partial results and cuts the invoice into chunks.
@@ -165,11 +168,30 @@ def oversized_invoices(lines: DataFrame, hot_rows: int) -> DataFrame | None:
     return None if found.isEmpty() else found
 
 
+def _before(prior: DataFrame, typed: DataFrame) -> DataFrame:
+    """Accepted keys and customers of earlier loads as lines that stand before all others of their invoice.
+
+    All of an invoice have the customer its next line would be given, so their order does not matter.
+    """
+    return prior.select(
+        F.col("invoice").alias("_group"),
+        "invoice",
+        "stock_code",
+        F.col("customer_id").alias("_own"),
+        F.lit(False).alias("_seeks"),
+        F.lit(False).alias("_no_customer_text"),
+        F.lit(None).cast("string").alias("_local"),
+        F.lit(-1).cast(typed.schema["pos"].dataType).alias("pos"),
+        F.xxhash64("invoice", "stock_code").cast(typed.schema["row_id"].dataType).alias("row_id"),
+    )
+
+
 def judge(
     raw: DataFrame,
     checks: Checks,
     hot_rows: int = HOT_ROWS,
     invoice_scan: DataFrame | None = None,
+    prior: DataFrame | None = None,
 ) -> DataFrame:
     """Raw columns, clean columns and `reject_reason`, NULL for accepted lines.
 
@@ -178,7 +200,8 @@ def judge(
     runs first to find oversized invoices, and only if there are any does the
     plan get their path; pass `invoice_scan` where a narrower source of
     `InvoiceNo` exists. Both paths read `raw`, so it has to give the same lines
-    with the same numbers each time: a load stores them first.
+    with the same numbers each time: a load stores them first. `prior` holds what
+    `FeedState.prior` found of earlier loads; `raw` then has positions from 0 on.
     """
     hot = oversized_invoices(raw if invoice_scan is None else invoice_scan, hot_rows)
     invoice = cleaning.clean_invoice_no(F.col("InvoiceNo"))
@@ -191,12 +214,20 @@ def judge(
     whole = raw if hot is None else raw.join(hot, is_hot, "left_anti")
     # Raw text is what the quarantine needs, so it has to cross the network;
     # typed columns do not, and are made on the far side.
-    settled = _settle_whole(
-        with_checks(whole.withColumn("_group", group).repartition("_group"), checks)
-    )
+    typed = with_checks(whole.withColumn("_group", group).repartition("_group"), checks)
+    if prior is not None:
+        before = _before(prior, typed)
+        rare = before if hot is None else before.join(hot, "_group", "left_anti")
+        typed = typed.unionByName(rare.repartition("_group"), allowMissingColumns=True)
+    settled = _settle_whole(typed)
     if hot is not None:
-        split = _settle_hot(with_checks(raw.join(hot, is_hot), checks), hot_rows)
+        split = with_checks(raw.join(hot, is_hot), checks)
+        if prior is not None:
+            split = split.unionByName(before.join(hot, "_group", "left_semi"), allowMissingColumns=True)
+        split = _settle_hot(split, hot_rows)
         settled = settled.unionByName(split.select(settled.columns))
+    if prior is not None:
+        settled = settled.filter(F.col("pos") >= 0)
     customer = F.coalesce("_own", F.when(F.col("_seeks"), F.col("_fill")))
     reason = (
         F.when(F.col("_local") == GATE, GATE)

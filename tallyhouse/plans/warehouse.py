@@ -1,10 +1,12 @@
 """The load job and the tables it leaves behind.
 
-Each load writes folders of its own and becomes visible by one row in the log
-of loads, written last. A load that dies halfway leaves nothing a reader sees,
-and a batch that is already in the log is not loaded again.
+Each load writes folders of its own and becomes visible by one file in the log
+of loads, put there last and only if its number is free. A load that dies
+halfway leaves nothing a reader sees, a batch that is already in the log is not
+loaded again, and of two loads at once the slower one builds anew on the other.
 
-    <root>/loads                           one row per finished load
+    <root>/loads/<number>.json             one file per finished load
+    <root>/feeds/<feed>/...                accepted keys of a feed, see operators/feed_state
     <root>/landed/load_id=...              every raw line as it came, numbered
     <root>/judged/load_id=.../verdict=...  every raw line with its verdict
     <root>/unresolved/load_id=...          accepted lines that found no keys
@@ -36,10 +38,11 @@ from tallyhouse.operators import (
     trends,
     verdict,
 )
+from tallyhouse.operators.feed_state import FeedState
+from tallyhouse.plans.commits import CommitLog
 from tallyhouse.sources.files import stamp
 from tallyhouse.schemas import RAW_COLUMNS
 
-_LOG = "load_no int, batch_id string, folder string, loaded_at timestamp_ntz"
 ACCEPTED = "accepted"
 UNRESOLVED = "unresolved_keys"
 
@@ -50,14 +53,12 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = CommitLog(spark, f"{self.root}/loads")
 
     # ---- reading
 
     def loads(self) -> DataFrame:
-        path = f"{self.root}/loads"
-        if not self._exists(path):
-            return self.spark.createDataFrame([], _LOG)
-        return self.spark.read.schema(_LOG).parquet(path)
+        return self.log.rows()
 
     def _folders(self) -> list[str]:
         """Names of finished loads, oldest first; one row per load."""
@@ -174,19 +175,31 @@ class Warehouse:
         source: str = "CSV",
         source_file: str | None = None,
         hot_rows: int = verdict.HOT_ROWS,
+        feed: str | None = None,
     ) -> dict[str, int]:
         """Run one load end to end and return its counts.
 
+        The loads of one `feed` remember what they have accepted: a line repeated in
+        a later load is a duplicate, and an invoice that goes on in a later load
+        keeps its customer. Without a feed a load stands for itself.
+
         Every line read ends in one of them: records_read is gate_rejected, plus
         records_rejected, plus records_inserted. A load that fails leaves a
         lineage row that says why.
         """
-        done = self.loads()
-        if not done.filter(F.col("batch_id") == batch_id).isEmpty():
-            return {}
-        run = _Run(batch_id, loaded_at, job_name, source, source_file, _now())
+        run = _Run(batch_id, loaded_at, job_name, source, source_file, _now(), feed)
+        landed = None
         try:
-            return self._load(raw, checks, done, run, hot_rows)
+            while True:
+                done = self.loads()
+                if not done.filter(F.col("batch_id") == batch_id).isEmpty():
+                    return {}
+                landed = self._land(raw, run) if landed is None else landed
+                number, folder, counts = self._load(landed, checks, done, run, hot_rows)
+                row = {"batch_id": batch_id, "folder": folder, "loaded_at": loaded_at, "feed": feed}
+                if self.log.publish(number, row):
+                    return counts
+                # Another load has taken the number: its members and keys are known now.
         except Exception as error:
             row = run.lineage({}, _now(), "FAILED", str(error)[:2000], {})
             self.spark.createDataFrame([row], schemas.DATA_LINEAGE).coalesce(1).write.mode("append").parquet(
@@ -194,27 +207,37 @@ class Warehouse:
             )
             raise
 
-    def _load(self, raw: DataFrame, checks, done: DataFrame, run: "_Run", hot_rows: int) -> dict[str, int]:
-        load_no = (done.agg(F.max("load_no")).first()[0] or 0) + 1
+    def _land(self, raw: DataFrame, run: "_Run") -> DataFrame:
+        """The one pass over the source; the lines' numbers are fixed from here on."""
+        landed = stamp(raw, run.batch_id, run.loaded_at, run.source)
+        path = self._place("landed", uuid.uuid4().hex)
+        landed.write.parquet(path)
+        return self.spark.read.schema(landed.schema).parquet(path)
+
+    def _load(self, landed: DataFrame, checks, done: DataFrame, run: "_Run", hot_rows: int) -> tuple[int, str, dict[str, int]]:
+        """Number, folder and counts of a load on top of the finished ones; not visible yet."""
+        finished = done.orderBy("load_no").collect()
+        load_no = (finished[-1].load_no if finished else 0) + 1
         folder = f"{load_no:08d}-{uuid.uuid4().hex}"
         home = partial(self._place, folder=folder)
-
-        # The one pass over the source. What follows reads the stored lines, whose numbers are fixed from here on.
-        landed = stamp(raw, run.batch_id, run.loaded_at, run.source)
-        schema = landed.schema
-        landed.write.parquet(home("landed"))
-        landed = self.spark.read.schema(schema).parquet(home("landed"))
+        earlier = [r.folder for r in finished]
+        state = prior = None
+        if run.feed is not None:
+            state = FeedState(self.spark, f"{self.root}/feeds/{run.feed}")
+            prior = state.prior(landed, [r.folder for r in finished if r.feed == run.feed])
 
         seen = Observation()
-        judged = verdict.judge(landed, checks, hot_rows).observe(seen, *_counts())
+        judged = verdict.judge(landed, checks, hot_rows, prior=prior).observe(seen, *_counts())
         judged.withColumn("verdict", F.coalesce("reject_reason", F.lit(ACCEPTED))).write.partitionBy(
             "verdict"
         ).parquet(home("judged"))
         judged = self.spark.read.schema(schemas.JUDGED).parquet(home("judged"))
         lines = conformed(judged)
+        if state is not None:
+            state.remember(judged, folder)
 
-        self._write_dimensions(lines, home, run.loaded_at, run.source, load_no)
-        known = [*self._folders(), folder]
+        self._write_dimensions(lines, home, run.loaded_at, run.source, load_no, earlier)
+        known = [*earlier, folder]
         dates = self._all("dim_date", schemas.DIM_DATE, known)
         customers = self._all("dim_customer", schemas.DIM_CUSTOMER, known)
         products = self._products(known)
@@ -225,7 +248,7 @@ class Warehouse:
         starts.write.parquet(home("line_starts"))
         starts = self.spark.read.schema(schema).parquet(home("line_starts"))
         resolved = fact.resolve_keys(fact.line_numbers(lines, starts), dates, customers, products)
-        base = self.fact_sales().agg(F.max("sales_key")).first()[0] or 0
+        base = self._all("fact_sales", schemas.FACT_SALES, earlier).agg(F.max("sales_key")).first()[0] or 0
         fact.write(
             fact.build(
                 resolved.observe(
@@ -261,10 +284,7 @@ class Warehouse:
             .first()
         )
         self._write_records(home, counts, load_no, run, print_.h)
-        self.spark.createDataFrame(
-            [(load_no, run.batch_id, folder, _moment(run.loaded_at))], _LOG
-        ).write.mode("append").parquet(f"{self.root}/loads")
-        return counts
+        return load_no, folder, counts
 
     def _write_unresolved(self, resolved: DataFrame, judged: DataFrame, home: Callable[[str], str], n: int) -> None:
         """Accepted lines without their keys, as they came, with a reason of their own."""
@@ -276,7 +296,7 @@ class Warehouse:
         ).write.parquet(home("unresolved"))
 
     def _write_dimensions(
-        self, lines: DataFrame, home: Callable[[str], str], loaded_at: str, source: str, load_no: int
+        self, lines: DataFrame, home: Callable[[str], str], loaded_at: str, source: str, load_no: int, earlier: list[str]
     ) -> None:
         """Members first, keys second; only new and changed members are written.
 
@@ -294,12 +314,14 @@ class Warehouse:
         )
         found = {n: self.spark.read.parquet(home(f"{n}_members")) for n in members}
         frames = {
-            "dim_date": dimensions.absent_dates(self.dim_date(), found["dim_date"]),
+            "dim_date": dimensions.absent_dates(
+                self._all("dim_date", schemas.DIM_DATE, earlier), found["dim_date"]
+            ),
             "dim_product": dimensions.changed_products(
-                self.dim_product(), found["dim_product"], loaded_at, source
+                self._products(earlier), found["dim_product"], loaded_at, source
             ),
             "dim_customer": dimensions.absent_customers(
-                self.dim_customer(), found["dim_customer"], loaded_at, source
+                self._all("dim_customer", schemas.DIM_CUSTOMER, earlier), found["dim_customer"], loaded_at, source
             ),
         }
         # Products and current customers that have no version yet get this load's.
@@ -374,6 +396,7 @@ class _Run:
     source: str
     source_file: str | None
     started: datetime
+    feed: str | None = None
 
     def lineage(self, counts: dict, ended: datetime, status: str, error: str | None, facts: dict) -> tuple:
         return (

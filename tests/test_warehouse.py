@@ -2,12 +2,15 @@
 
 import csv
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import catalog, quality
 from tallyhouse.operators.verdict import Checks
+from tallyhouse.operators.feed_state import FeedState, bucket_of
+from tallyhouse.plans.commits import CommitLog
 from tallyhouse.plans.warehouse import Warehouse, check_table
 from tallyhouse.schemas import RAW_COLUMNS
 from tallyhouse.sources.files import from_table, read_csv, stamp
@@ -256,3 +259,91 @@ def test_streaming_dedup_keeps_one_line_per_key(spark, tmp_path):
     out = incremental.drain(once.select("invoice", "stock_code"), str(tmp_path / "out"))
     keys = sorted(map(tuple, out.collect()))
     assert keys == sorted({(r[0], r[1]) for r in FIRST if r[5] != "£7.65"})
+
+
+def test_two_loads_at_once(spark, tmp_path, monkeypatch):
+    """Both build on the empty warehouse; the slower one starts over, and no key is given twice."""
+    from threading import Barrier
+
+    house = Warehouse(spark, str(tmp_path / "house"))
+    sources = {n: read_csv(spark, write(tmp_path / f"{n}.csv", rows)) for n, rows in (("a", FIRST), ("b", SECOND))}
+    both, build, begun = Barrier(2), Warehouse._load, []
+
+    def load(self, *args):
+        begun.append(args)
+        made = build(self, *args)
+        if len(begun) <= 2:
+            both.wait(120)
+        return made
+
+    monkeypatch.setattr(Warehouse, "_load", load)
+    with ThreadPoolExecutor(2) as pool:
+        running = [pool.submit(house.load, raw, CHECKS, n, LOADED) for n, raw in sources.items()]
+        counts = [r.result() for r in running]
+    assert len(begun) == 3 and sorted(c["records_inserted"] for c in counts) == [2, 4]
+    assert sorted((r.load_no, r.batch_id) for r in house.loads().collect()) in ([(1, "a"), (2, "b")], [(1, "b"), (2, "a")])
+    for table, key in (("fact_sales", "sales_key"), ("dim_customer", "customer_key"), ("dim_product", "product_key"), ("data_versions", "version_id")):
+        keys = [r[key] for r in house.tables()[table].collect()]
+        assert len(keys) == len(set(keys)) and keys
+    tables = house.tables()
+    for child, column, parent, parent_column in catalog.RELATIONSHIPS:
+        assert quality.orphans(tables[child], column, tables[parent], parent_column).first().orphan_rows == 0
+    assert house.load(sources["a"], CHECKS, "a", LOADED) == {}
+
+
+def test_commit_takes_a_number_once(spark, tmp_path):
+    log = CommitLog(spark, str(tmp_path / "loads"))
+    assert log.rows().isEmpty()
+    row = {"batch_id": "x", "folder": "f", "loaded_at": LOADED, "feed": None}
+    assert log.publish(1, row) and not log.publish(1, {**row, "batch_id": "y"}) and log.publish(2, row)
+    assert sorted((r.load_no, r.batch_id, str(r.loaded_at), r.feed) for r in log.rows().collect()) == [(1, "x", LOADED, None), (2, "x", LOADED, None)]
+
+
+def line(invoice, code, customer, quantity="1"):
+    return [invoice, code, "LAMP", quantity, "2012-03-01", "2", customer, "France"]
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 2])
+def test_a_feed_remembers_keys_and_customers(spark, tmp_path, hot_rows):
+    """Repeated lines, an invoice opened later, a customer carried over, and the same again without a feed."""
+    days = [
+        [line("540001", "A1", ""), line("540001", "A2", "7.0"), line("540002", "B1", "8")],
+        [line("540001", "A2", "7.0"), line("540001", "A3", ""), line("540001", "A1", ""), line("540003", "C1", "")],
+        [line("540003", "C1", "9"), line("540003", "C2", ""), line("540001", "A4", "11"), line("540001", "A5", ""), line("540002", "B1", "8")],
+        [line("540001", "A6", ""), line("540009", "Z", "1")],
+    ]
+    want = [
+        ["missing_required_field", None, None],
+        ["duplicate", None, None, "missing_required_field"],
+        [None, None, None, None, "duplicate"],
+        [None, None],
+    ]
+    house = Warehouse(spark, str(tmp_path / "house"))
+    for day, rows in enumerate(days):
+        house.load(read_csv(spark, write(tmp_path / f"{day}.csv", rows)), CHECKS, f"day-{day}", LOADED, feed="shop", hot_rows=hot_rows)
+    judged = house._all("judged", house.judged().schema, extra=("load_id",)).collect()
+    got = [[r.reject_reason for r in sorted((r for r in judged if r.load_id.startswith(f"{n + 1:08d}")), key=lambda r: r.pos)] for n in range(4)]
+    assert got == want
+    customers = {r.StockCode: r.customer_id for r in judged if r.reject_reason is None}
+    assert [customers[c] for c in ("A1", "A3", "A5", "A6", "C2")] == ["7", "7", "11", "11", "9"]
+
+    alone = house.load(read_csv(spark, write(tmp_path / "again.csv", days[0])), CHECKS, "again", LOADED)
+    assert alone["records_inserted"] == 2
+    other = house.load(read_csv(spark, write(tmp_path / "other.csv", days[0])), CHECKS, "other", LOADED, feed="second shop")
+    assert other["records_inserted"] == 2
+
+
+def test_only_hit_buckets_are_read(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    house.load(read_csv(spark, write(tmp_path / "1.csv", [line(str(540000 + i), "A", "1") for i in range(200)])), CHECKS, "1", LOADED, feed="f")
+    state, folders = FeedState(spark, str(tmp_path / "house/feeds/f")), [r.folder for r in house.loads().collect()]
+    asked = lambda *numbers: spark.createDataFrame([(str(n),) for n in numbers], "invoice string")
+    assert state.hit_buckets(asked(540007), folders) == [(folders[0], spark.range(1).select(bucket_of(F.lit("540007"), 64)).first()[0])]
+    assert len(state.hit_buckets(asked(*range(540000, 540200)), folders)) > 50
+    assert len(state.hit_buckets(asked(*range(600000, 600200)), folders)) <= 2
+    raw = read_csv(spark, write(tmp_path / "2.csv", [line("540007", "A", "1"), line("540007", "B", "")]))
+    prior = state.prior(raw, folders)
+    assert sorted(map(tuple, prior.select("invoice", "stock_code", "customer_id").collect())) == [("540007", "", "1"), ("540007", "A", "1")]
+    files = {f.split("bucket=")[1].split("/")[0] for f in prior.inputFiles() if "line_keys" in f}
+    assert len(files) == 1
+    assert state.prior(read_csv(spark, write(tmp_path / "3.csv", [line("999999", "A", "1")])), folders[:0]) is None
