@@ -29,9 +29,11 @@ from tallyhouse.operators.carry import carry_last
 from tallyhouse.operators.transform import line_total
 from tallyhouse.schemas import RAW_COLUMNS
 from tallyhouse.session import new_folder
+from tallyhouse.sources.files import RAW_LINE
 
 # Reject reasons in order of precedence. A zero quantity already fails
 # validation, so its own label only appears where that check is lifted.
+MALFORMED = "malformed_line"
 GATE = "ingest_invalid"
 MISSING = "missing_required_field"
 INVALID = "validation_failed"
@@ -39,7 +41,7 @@ ZERO_QUANTITY = "quantity_zero"
 ZERO_PRICE = "unit_price_zero_quarantine"
 TOO_LARGE = "line_total_out_of_range"
 DUPLICATE = "duplicate"
-REASONS = [GATE, MISSING, INVALID, ZERO_QUANTITY, ZERO_PRICE, TOO_LARGE, DUPLICATE]
+REASONS = [MALFORMED, GATE, MISSING, INVALID, ZERO_QUANTITY, ZERO_PRICE, TOO_LARGE, DUPLICATE]
 
 ORDER = ["pos", "row_id"]
 HOT_ROWS = 1_000_000
@@ -84,8 +86,11 @@ def with_checks(raw: DataFrame, checks: Checks) -> DataFrame:
         # An id such as ".0" names a customer, yet nothing is left of it.
         & (F.col("_seeks") | F.col("_own").isNotNull())
     )
+    # A line whose fields do not fit its header may stand in the wrong columns.
+    whole = F.col(RAW_LINE).isNull() if RAW_LINE in raw.columns else F.lit(True)
     local = (
-        F.when(~validation.passes_gate(), GATE)
+        F.when(~whole, MALFORMED)
+        .when(~validation.passes_gate(), GATE)
         .when(~valid, INVALID)
         .when(F.col("units") == 0, ZERO_QUANTITY)
         .when(F.col("unit_price") == 0, ZERO_PRICE)
@@ -230,7 +235,7 @@ def judge(
         settled = settled.filter(F.col("pos") >= 0)
     customer = F.coalesce("_own", F.when(F.col("_seeks"), F.col("_fill")))
     reason = (
-        F.when(F.col("_local") == GATE, GATE)
+        F.when(F.col("_local").isin(MALFORMED, GATE), F.col("_local"))
         .when(F.col("_no_customer_text") & customer.isNull(), MISSING)
         .when((F.col("_local") == INVALID) | customer.isNull(), INVALID)
         .when(F.col("_local").isNotNull(), F.col("_local"))
@@ -263,7 +268,7 @@ def accepted(judged: DataFrame) -> DataFrame:
         "clean_description": "description",
         "clean_country": "country",
     }
-    drop = {*RAW_COLUMNS, "reject_reason"}
+    drop = {*RAW_COLUMNS, RAW_LINE, "reject_reason"}
     return judged.filter(F.col("reject_reason").isNull()).select(
         *[F.col(c).alias(renamed.get(c, c)) for c in judged.columns if c not in drop]
     )
@@ -272,7 +277,7 @@ def accepted(judged: DataFrame) -> DataFrame:
 def rejected(judged: DataFrame) -> DataFrame:
     """Quarantine: rejected lines as they came, with the reason."""
     return judged.filter(F.col("reject_reason").isNotNull()).select(
-        *[c for c in judged.columns if c in (*RAW_COLUMNS, "seq", *ORDER)],
+        *[c for c in judged.columns if c in (*RAW_COLUMNS, RAW_LINE, "seq", *ORDER)],
         "customer_id",
         "reject_reason",
     )

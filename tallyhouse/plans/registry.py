@@ -26,6 +26,7 @@ from tallyhouse.operators import (
     trends,
     verdict,
 )
+from tallyhouse.operators.feed_state import FeedState
 from tallyhouse.plans.oracle_views import VIEWS
 from tallyhouse.plans.oracle_views import query as sql
 from tallyhouse.plans.warehouse import Warehouse, alert_rows
@@ -171,6 +172,84 @@ def csv_scan(spark, sf_dir):
     return scanned.select([F.col(c).alias(n) for c, n in zip(RAW_COLUMNS, names)])
 
 
+# Every fiftieth order or so has a field too many, none but a delimiter, or a delimiter in an unquoted text.
+_MALFORMED = {
+    "written": """
+        SELECT *, CASE WHEN seq % 50 = 0 THEN 'surplus' WHEN seq % 51 = 0 THEN 'empty' WHEN seq % 52 = 0 THEN 'unquoted' ELSE '' END AS fault
+        FROM raw_sales""",
+    "file_lines": """
+        SELECT *, InvoiceNo || ',' || StockCode || ',' || CASE WHEN fault = 'unquoted' THEN 'LAMP, LARGE' ELSE '"' || Description || '"' END
+          || ',' || QuantityText || ',' || InvoiceDate || ',' || UnitPrice || ',' || CustomerID || ',' || Country
+          || CASE fault WHEN 'surplus' THEN ',SURPLUS' WHEN 'empty' THEN ',' ELSE '' END AS line
+        FROM written""",
+    "whole": "SELECT * EXCLUDE (fault) FROM written WHERE fault = ''",
+    "gated": VIEWS["gated"].replace("FROM raw_sales", "FROM whole"),
+}
+
+
+def _malformed_text(spark, sf_dir) -> str:
+    """The sales view as delimited text with faulty lines; lines of an invoice in their order, in one file."""
+    raw = sales_view(spark, sf_dir)
+    fault = F.when(F.col("seq") % 50 == 0, "surplus").when(F.col("seq") % 51 == 0, "empty").when(F.col("seq") % 52 == 0, "unquoted").otherwise("")
+    text = F.when(fault == "unquoted", F.lit("LAMP, LARGE")).otherwise(F.concat(F.lit('"'), "Description", F.lit('"')))
+    tail = F.when(fault == "surplus", F.lit(",SURPLUS")).when(fault == "empty", F.lit(",")).otherwise("")
+    fields = [text if c == "Description" else F.col(c) for c in RAW_COLUMNS]
+    line = F.concat(F.concat_ws(",", *fields), tail)
+    folder = new_folder(spark, "csv")
+    (
+        raw.select("seq", "pos", line.alias(",".join(RAW_COLUMNS)))
+        .repartitionByRange(8, "seq")
+        .sortWithinPartitions("seq", "pos")
+        .drop("seq", "pos")
+        .write.option("header", True)
+        .option("sep", "\x01")
+        .option("quote", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(folder)
+    )
+    return folder
+
+
+@register(
+    "csv_malformed",
+    """
+    SELECT nullif(InvoiceNo, '') AS invoice_no, StockCode AS stock_code,
+      CASE WHEN fault = 'unquoted' THEN 'LAMP' ELSE nullif(Description, '') END AS description,
+      CASE WHEN fault = 'unquoted' THEN ' LARGE' ELSE QuantityText END AS quantity,
+      CASE WHEN fault = 'unquoted' THEN QuantityText ELSE InvoiceDate END AS invoice_date,
+      CASE WHEN fault = 'unquoted' THEN InvoiceDate ELSE UnitPrice END AS unit_price,
+      CASE WHEN fault = 'unquoted' THEN UnitPrice ELSE nullif(CustomerID, '') END AS customer_id,
+      nullif(CASE WHEN fault = 'unquoted' THEN CustomerID ELSE Country END, '') AS country,
+      CASE WHEN fault <> '' THEN line END AS raw_line
+    FROM file_lines""",
+    _MALFORMED,
+)
+def csv_malformed(spark, sf_dir):
+    """Lines with more fields than the header keep their whole text."""
+    names = ["invoice_no", "stock_code", "description", "quantity", "invoice_date", "unit_price", "customer_id", "country"]
+    scanned = files.read_csv(spark, _malformed_text(spark, sf_dir))
+    return scanned.select(*[F.col(c).alias(n) for c, n in zip(RAW_COLUMNS, names)], "raw_line")
+
+
+@register(
+    "malformed_load",
+    "SELECT coalesce(reject_reason, 'accepted') AS verdict, '' AS raw_line, count(*) AS lines FROM judged GROUP BY 1"
+    " UNION ALL SELECT 'malformed_line', line, count(*) FROM file_lines WHERE fault <> '' GROUP BY line"
+    " UNION ALL SELECT 'missing', '', 0",
+    _MALFORMED,
+)
+def malformed_load(spark, sf_dir):
+    """A load of text with faulty lines: by verdict, those in quarantine with their text, and none unaccounted for."""
+    house = Warehouse(spark, new_folder(spark, "warehouse"))
+    counts = house.load(files.read_csv(spark, _malformed_text(spark, sf_dir)), CHECKS, BATCH, LOADED_AT)
+    lines = F.count(F.lit(1)).alias("lines")
+    ended = house.quarantine().groupBy(F.col("reject_reason").alias("verdict"), F.coalesce("raw_line", F.lit("")).alias("raw_line")).agg(lines)
+    taken = house.fact_sales().agg(lines).select(F.lit("accepted").alias("verdict"), F.lit("").alias("raw_line"), "lines")
+    missing = counts["records_read"] - counts["gate_rejected"] - counts["records_rejected"] - counts["records_inserted"]
+    return ended.unionByName(taken).unionByName(spark.createDataFrame([("missing", "", missing)], "verdict string, raw_line string, lines bigint"))
+
+
 @register(
     "table_source",
     "SELECT count(*) AS lines, count(DISTINCT InvoiceNo) AS invoices FROM raw_sales",
@@ -478,6 +557,48 @@ def line_verdict_split_invoices(spark, sf_dir):
     )
 
 
+@register(
+    "line_verdict_over_loads",
+    "SELECT seq, pos, customer_id, coalesce(reject_reason, 'accepted') AS verdict FROM judged",
+)
+def line_verdict_over_loads(spark, sf_dir):
+    """The same verdicts where the lines of an invoice come in three loads of a feed."""
+    state, raw, done, parts = FeedState(spark, new_folder(spark, "feed")), sales_view(spark, sf_dir), [], []
+    # A line's place begins with its number in the order.
+    for first, end in ((0, 3), (3, 5), (5, 2000)):
+        part = raw.filter((F.col("pos") >= first * 2**52) & (F.col("pos") < end * 2**52))
+        folder = new_folder(spark, "judged")
+        verdict.judge(part, CHECKS, prior=state.prior(part, done)).write.parquet(folder)
+        judged, load_id = spark.read.parquet(folder), f"{len(done) + 1:08d}"
+        state.remember(judged, load_id)
+        done.append(load_id)
+        parts.append(judged.select("seq", "pos", "customer_id", F.coalesce("reject_reason", F.lit("accepted")).alias("verdict")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_TWICE = {
+    "delivered": "SELECT *, 1 AS delivery, pos AS place FROM checked UNION ALL SELECT *, 2, pos FROM checked",
+    "reachable": VIEWS["reachable"].replace("FROM checked", "FROM delivered").replace("ORDER BY pos", "ORDER BY delivery, pos"),
+    "settled": VIEWS["settled"].replace("ORDER BY pos", "ORDER BY delivery, pos"),
+    "filled": VIEWS["filled"].replace("ORDER BY pos", "ORDER BY delivery, pos"),
+    "judged": VIEWS["judged"].replace("SELECT seq,", "SELECT delivery, seq,"),
+}
+
+
+@register(
+    "incremental_dedup",
+    "SELECT delivery::BIGINT AS delivery, seq, pos, customer_id, coalesce(reject_reason, 'accepted') AS verdict FROM judged",
+    _TWICE,
+)
+def incremental_dedup(spark, sf_dir):
+    """All lines delivered twice to one feed: what the first load has accepted, the second one turns down."""
+    house = Warehouse(spark, new_folder(spark, "warehouse"))
+    for delivery in ("first", "second"):
+        house.load(sales_view(spark, sf_dir), CHECKS, delivery, LOADED_AT, feed="sales")
+    number = F.substring("load_id", 1, 8).cast("bigint")
+    return house.judged_by_load().select(number.alias("delivery"), "seq", "pos", "customer_id", "verdict")
+
+
 @register(
     "first_failed_rule",
     f"""

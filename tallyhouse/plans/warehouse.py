@@ -125,6 +125,10 @@ class Warehouse:
         """Every raw line of every load; `verdict` is a folder level."""
         return self._all("judged", schemas.JUDGED)
 
+    def judged_by_load(self) -> DataFrame:
+        """The same with the load's folder, whose name begins with the load's number."""
+        return self._all("judged", schemas.JUDGED, extra=("load_id",))
+
     def lines(self) -> DataFrame:
         """Accepted lines in conformed shape; reads one folder level only."""
         return conformed(self.judged())

@@ -96,7 +96,7 @@ DATA_QUALITY_ALERTS = _table(
 JUDGED = _table(
     "seq bigint, pos bigint, row_id bigint, InvoiceNo string, StockCode string,"
     " Description string, Quantity string, InvoiceDate string, UnitPrice string,"
-    " CustomerID string, Country string, batch_id string, data_source string,"
+    " CustomerID string, Country string, raw_line string, batch_id string, data_source string,"
     " created_at timestamp, invoice string, stock_code string, units int,"
     " unit_price money, transaction_datetime timestamp, customer_id string,"
     " clean_description string, clean_country string, reject_reason string,"

@@ -9,6 +9,9 @@ from tallyhouse.schemas import RAW_COLUMNS
 from tallyhouse.session import fit_shuffles
 
 PROVENANCE = ["batch_id", "data_source", "created_at"]
+#: Text of a line with more fields than its header names; NULL for all others.
+RAW_LINE = "raw_line"
+_UNREAD = "_unread"
 
 
 def read_csv(
@@ -25,32 +28,51 @@ def read_csv(
     the files of one folder share theirs, and a file that differs is an error,
     not lines read in the wrong order. `multi_line` allows line breaks in
     quoted fields, at the price that a file is no longer split between tasks.
+
+    A line with more fields than the header names keeps its whole text in
+    `raw_line`, and no load accepts it; what a line has too few of is NULL.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("sep", delimiter)
-        .option("encoding", encoding)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("enforceSchema", False)
-    )
+    reader = as_text(spark.read, delimiter).option("encoding", encoding).option("multiLine", multi_line)
     # Paths of the same header are one scan.
     headers: dict[tuple, list[str]] = {}
     for one in [path] if isinstance(path, str) else path:
         headers.setdefault(tuple(reader.csv(one).columns), []).append(one)
     whole = None
     for names, paths in headers.items():
-        kinds = StructType([StructField(n, StringType()) for n in names])
-        found = reader.schema(kinds).csv(paths)
+        found = with_raw_line(reader.schema(text_schema(list(names))).csv(paths), len(names), delimiter)
         fit_shuffles(found)
-        columns = [
+        columns = [F.col(RAW_LINE)] + [
             F.col(c) if c in names else F.lit(None).cast("string").alias(c)
             for c in [*RAW_COLUMNS, *PROVENANCE]
         ]
         part = found.select(columns)
         whole = part if whole is None else whole.unionByName(part)
     given = [c for c in PROVENANCE if any(c in names for names in headers)]
-    return in_order(whole.select(*RAW_COLUMNS, *given))
+    return in_order(whole.select(*RAW_COLUMNS, RAW_LINE, *given))
+
+
+def as_text(reader, delimiter: str = ","):
+    """Options of a batch or stream reader for delimited text; a line it cannot fit keeps its text."""
+    return (
+        reader.option("header", True)
+        .option("sep", delimiter)
+        .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _UNREAD)
+    )
+
+
+def text_schema(names: list[str]) -> StructType:
+    """Text fields, and the place for a line that does not fit them."""
+    return StructType([StructField(n, StringType()) for n in [*names, _UNREAD]])
+
+
+def with_raw_line(found: DataFrame, fields: int, delimiter: str = ",") -> DataFrame:
+    """`raw_line` for the lines with more than so many fields; delimiters in quotes part nothing."""
+    bare = F.regexp_replace(_UNREAD, r'"([^"]|"")*"', "")
+    parted = (F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit("")))) / len(delimiter)
+    return found.withColumn(RAW_LINE, F.when(parted + 1 > fields, F.col(_UNREAD))).drop(_UNREAD)
 
 
 def from_table(df: DataFrame) -> DataFrame:
