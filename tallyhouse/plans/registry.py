@@ -14,6 +14,7 @@ from tallyhouse.functions import classify, cleaning, rules, validation
 from tallyhouse.operators import (
     analytics,
     catalog,
+    day_counts,
     dimensions,
     duplicates,
     fact,
@@ -1178,6 +1179,13 @@ def sales_summary(spark, sf_dir):
     return analytics.sales_summary(warehouse(spark, sf_dir).fact_sales(), SALES_AS_OF)
 
 
+@register("sales_summary_by_days", _SUMMARY_30)
+def sales_summary_by_days(spark, sf_dir):
+    """The same from the totals and key sets that loads store by day; no fact row is read."""
+    house = warehouse(spark, sf_dir)
+    return day_counts.sales_summary(house.day_totals(), house.day_keys(), SALES_AS_OF)
+
+
 @register("top_products", _TOP)
 def top_products(spark, sf_dir):
     house = warehouse(spark, sf_dir)

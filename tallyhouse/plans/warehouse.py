@@ -12,6 +12,7 @@ loaded again, and of two loads at once the slower one builds anew on the other.
     <root>/unresolved/load_id=...          accepted lines that found no keys
     <root>/fact_sales/load_id=...          accepted lines, by year
     <root>/dim_*/load_id=...               members the load added, products also those it changed
+    <root>/day_*/load_id=...               totals and key sets of the load's days
     <root>/data_*/load_id=...              versions, lineage, quality rows of the load
     <root>/failed_runs                     lineage rows of loads that failed
 """
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from tallyhouse import schemas
 from tallyhouse.operators import (
     analytics,
+    day_counts,
     dimensions,
     fact,
     lineage,
@@ -71,7 +73,8 @@ class Warehouse:
         if not folders:
             return self.spark.createDataFrame([], schema).withColumns({c: F.lit(None) for c in extra})
         found = self.spark.read.option("basePath", f"{self.root}/{table}").schema(schema)
-        names = [f.name for f in schema] + list(extra)
+        names = [c.split()[0] for c in schema.split(", ")] if isinstance(schema, str) else [f.name for f in schema]
+        names += list(extra)
         return found.parquet(*[self._place(table, f) for f in folders]).select(names)
 
     def _place(self, table: str, folder: str) -> str:
@@ -125,6 +128,14 @@ class Warehouse:
         """Every raw line of every load; `verdict` is a folder level."""
         return self._all("judged", schemas.JUDGED)
 
+    def day_totals(self) -> DataFrame:
+        """Totals by day and load."""
+        return self._all("day_totals", day_counts.TOTALS_SCHEMA)
+
+    def day_keys(self) -> DataFrame:
+        """Sets of the keys sold, by day and load."""
+        return self._all("day_keys", day_counts.KEYS_SCHEMA)
+
     def judged_by_load(self) -> DataFrame:
         """The same with the load's folder, whose name begins with the load's number."""
         return self._all("judged", schemas.JUDGED, extra=("load_id",))
@@ -271,7 +282,11 @@ class Warehouse:
         loaded = fact.read(self.spark, home("fact_sales"))
 
         results = metric_rows(quality.check(loaded, "fact_sales"), run.batch_id, run.loaded_at)
-        (results if inserted else results.limit(0)).write.parquet(home("data_quality_metrics"))
+        _at_once(
+            partial((results if inserted else results.limit(0)).write.parquet, home("data_quality_metrics")),
+            partial(day_counts.day_totals(loaded).coalesce(1).write.parquet, home("day_totals")),
+            partial(day_counts.day_keys(loaded).write.parquet, home("day_keys")),
+        )
         totals = {"read": 0, "gate_rejected": 0, "cleaned": 0, "print": None} | seen.get
         counts = {
             "records_read": totals["read"],

@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import catalog, quality
+from tallyhouse.operators import analytics, catalog, day_counts, quality
 from tallyhouse.operators.verdict import Checks
 from tallyhouse.operators.feed_state import FeedState, bucket_of
 from tallyhouse.plans.commits import CommitLog
@@ -376,3 +376,32 @@ def test_lines_with_surplus_fields_are_kept_whole(spark, tmp_path):
     incremental.load_available(streamed, str(tmp_path / "inbox"), str(tmp_path / "progress"), CHECKS, LOADED)
     assert sorted(r.raw_line for r in streamed.quarantine().collect()) == sorted(faulty)
     assert streamed.fact_sales().count() == 3
+
+
+def test_distinct_counts_of_stored_days(spark, tmp_path):
+    """Equal to counting the fact's keys, over loads that share days; no Expand, and no fact row read."""
+    house = Warehouse(spark, str(tmp_path / "house"))
+    for n, rows in enumerate((FIRST, SECOND, FIRST[:4])):
+        house.load(read_csv(spark, write(tmp_path / f"{n}.csv", rows)), CHECKS, f"{n}", LOADED)
+    for as_of, days in (("2012-03-02", 30), ("2012-03-02", 5000), ("2010-12-15", 30), ("2031-01-01", 1)):
+        whole = analytics.sales_summary(house.fact_sales(), as_of, days)
+        stored = day_counts.sales_summary(house.day_totals(), house.day_keys(), as_of, days)
+        assert whole.collect() == stored.collect()
+        plain = house.fact_sales().filter(F.col("transaction_datetime") >= F.lit(as_of).cast("date") - F.expr(f"INTERVAL {days} DAYS"))
+        counted = plain.agg(F.count("*"), F.count_distinct("customer_key"), F.count_distinct("product_key")).first()
+        row = stored.first()
+        assert (row.total_transactions, row.unique_customers, row.unique_products) == tuple(counted)
+    for df in (whole, stored):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan
+    assert "fact_sales" not in "".join(stored.inputFiles())
+
+
+def test_key_sets_hold_all_keys(spark):
+    rows = [(f"2020-01-0{1 + i % 3} 10:00:00", i * 7919 % 100_000, None if i % 5 else i) for i in range(3000)] * 2
+    fact = spark.createDataFrame(rows, "t string, customer_key long, product_key long").withColumn("transaction_datetime", F.col("t").cast("timestamp_ntz"))
+    sets = day_counts.day_keys(fact)
+    for first in range(1, 4):
+        last = [r for r in rows if r[0] >= f"2020-01-0{first}"]
+        found = {r.key: r.distinct_keys for r in day_counts.distinct_keys(sets.filter(f"day >= '2020-01-0{first}'")).collect()}
+        assert found == {"customer_key": len({r[1] for r in last}), "product_key": len({r[2] for r in last} - {None})}
