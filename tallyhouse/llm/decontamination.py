@@ -151,3 +151,25 @@ def clean(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = G
     judged = stored(verdicts(docs, benchmark, span, gram), "verdicts").select("_id", "_row").hint("merge")
     same = (F.coalesce(docs["doc_id"], F.lit(NO_ID)) == judged["_id"]) & (F.xxhash64(docs["text"]) == judged["_row"])
     return docs.join(judged, same, "left_anti")
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+#: All windows of the items held against all places of the documents, for tables whose ids are unique.
+ORACLE = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {_WORDS} AS w FROM documents),
+items AS MATERIALIZED (SELECT item_id, w, least({SPAN}, len(w)) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS MATERIALIZED (
+  SELECT DISTINCT item_id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS span
+  FROM (SELECT item_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM items)),
+lengths AS (SELECT DISTINCT k FROM windows),
+places AS MATERIALIZED (
+  SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS span
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, lengths WHERE len(w) >= k)),
+hits AS MATERIALIZED (SELECT doc_id, item_id, i, p.k FROM places p JOIN windows v ON p.k = v.k AND p.span = v.span),
+hit_words AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS spot FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS named
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(named, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""

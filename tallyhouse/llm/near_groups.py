@@ -311,3 +311,25 @@ def near_classes(docs: DataFrame, size: int, part: Part, candidates, join, block
         .join(linked.withColumnRenamed("node", "doc_id"), "doc_id", "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     )
+
+
+def oracle(size: int, percent: int, columns: str) -> str:
+    """SQL for what `near_classes` gives on the table `documents` whose ids are unique: all pairs that share a shingle."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    gram = " || ' ' || ".join(f"w[i + {k}]" for k in range(size))
+    return f"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - {size} + 2), lambda i: {gram}) END) AS s FROM words)),
+sizes AS MATERIALIZED (SELECT doc_id, count(s) AS n FROM documents LEFT JOIN shingles USING (doc_id) GROUP BY doc_id),
+links AS MATERIALIZED (
+  SELECT a, b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN sizes m ON m.doc_id = a JOIN sizes n ON n.doc_id = b WHERE 100 * common >= {percent} * (m.n + n.n - common)),
+reached AS (SELECT doc_id AS a, doc_id AS b FROM sizes UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+classes AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT {columns} FROM sizes JOIN classes USING (doc_id)
+"""

@@ -89,4 +89,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_minhash_dedup": op13_minhash_dedup,
 }
 
-ORACLES: dict[str, str] = {"op2_line_dedup": line_dedup.ORACLE, "op11_ranked_search": ranked_search.ORACLE}
+ORACLES: dict[str, str] = {
+    "op2_line_dedup": line_dedup.ORACLE,
+    "op4_decontamination": decontamination.ORACLE,
+    "op8_jaccard_join": jaccard_join.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
+    "op13_minhash_dedup": minhash_dedup.ORACLE,
+}
