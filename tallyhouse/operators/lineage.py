@@ -38,13 +38,18 @@ def runs_of_batch(lineage: DataFrame, batch_id: str) -> DataFrame:
     )
 
 
-def row_print(columns: list[str]) -> Column:
-    """A number for a row. Each field stands behind its length, so no two rows read alike."""
+def row_text(columns: list[str]) -> Column:
+    """A row as text. Each field stands behind its length, so no two rows read alike."""
     fields = [
         F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
         for text in (F.col(c).cast("string") for c in columns)
     ]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *fields)), 1, 12), 16, 10).cast("decimal(20,0)")
+    return F.concat_ws("|", *fields)
+
+
+def row_print(columns: list[str]) -> Column:
+    """A number for a row."""
+    return F.conv(F.substring(F.md5(row_text(columns)), 1, 12), 16, 10).cast("decimal(20,0)")
 
 
 def set_print(rows: Column, total: Column) -> Column:
@@ -103,26 +108,6 @@ def version_show(versions: DataFrame, number: str) -> DataFrame:
     return versions.filter(F.col("version_number") == number)
 
 
-def change_archive(before: DataFrame, after: DataFrame, key: list[str]) -> DataFrame:
-    """The old image of every row that was updated or deleted.
-
-    Two snapshots are joined on their key and compared null-safe in all other
-    shared columns.
-    """
-    values = [c for c in before.columns if c not in key]
-    old = before.select(*key, F.struct(*values).alias("_old"), F.col("version_id").alias("_ov"))
-    new = after.select(*key, F.struct(*values).alias("_new"), F.col("version_id").alias("_nv"))
-    joined = old.join(new.withColumn("_kept", F.lit(True)), key, "left")
-    gone = F.col("_kept").isNull()
-    changed = gone | ~F.col("_old").eqNullSafe(F.col("_new"))
-    return joined.filter(changed).select(
-        *key,
-        F.when(gone, "DELETE").otherwise("UPDATE").alias("operation"),
-        F.coalesce("_nv", "_ov").alias("version_id"),
-        F.to_json(F.struct(*key, "_old.*")).alias("payload"),
-    )
-
-
 def load_metrics(extracted: Column, loaded: Column, seconds: Column | None = None) -> dict[str, Column]:
     """Share of the read lines that arrived, and lines per second."""
     rate = F.coalesce(F.try_divide(loaded * 100.0, extracted), F.lit(0.0))

@@ -23,6 +23,7 @@ from tallyhouse.operators import (
     missing,
     outliers,
     quality,
+    snapshots,
     transform,
     trends,
     verdict,
@@ -1649,17 +1650,23 @@ def version_show(spark, sf_dir):
     return versions.filter(F.col("version_number") == first)
 
 
+_OLD_LINES = (
+    "invoice_no, transaction_type, quantity AS old_quantity, CAST(unit_price AS DOUBLE) AS unit_price, CAST(line_total AS DOUBLE) AS line_total,"
+    " CAST(transaction_datetime AS VARCHAR) AS transaction_datetime"
+)
+
+
 @register(
     "change_archive",
     "SELECT invoice, stock_code, CASE WHEN pos % 17 = 0 THEN 'DELETE' ELSE 'UPDATE' END AS operation,"
-    " CAST(CASE WHEN pos % 17 = 0 THEN 1 ELSE 2 END AS BIGINT) AS version_id, quantity AS old_quantity, CAST(line_total AS DOUBLE) AS old_line_total"
-    " FROM lines WHERE pos % 17 = 0 OR pos % 13 = 0",
+    " CAST(CASE WHEN pos % 17 = 0 THEN 1 ELSE 2 END AS BIGINT) AS version_id, seq, pos, customer_id,"
+    f" '{LOADED_AT}' AS created_at, '{BATCH}' AS batch_id, 'CSV' AS data_source,"
+    " description, country, category,"
+    f" subcategory, is_gift, {_OLD_LINES} FROM lines WHERE pos % 17 = 0 OR pos % 13 = 0",
 )
 def change_archive(spark, sf_dir):
-    """Lines against a later state with some deleted and some corrected."""
-    before = warehouse(spark, sf_dir).lines().select(
-        "invoice", "stock_code", "quantity", "unit_price", "line_total", "pos", F.lit(1).alias("version_id")
-    )
+    """Lines against a later state with some deleted and some corrected, both as stored snapshots; the whole old image."""
+    before = warehouse(spark, sf_dir).lines().withColumn("version_id", F.lit(1)).drop("transaction_date", "row_id")
     corrected = F.col("pos") % 13 == 0
     after = before.filter("pos % 17 <> 0").withColumns(
         {
@@ -1667,15 +1674,40 @@ def change_archive(spark, sf_dir):
             "version_id": F.when(corrected, 2).otherwise(F.col("version_id")),
         }
     )
-    archive = lineage.change_archive(before, after, ["invoice", "stock_code"])
+    key, folder = ["invoice", "stock_code"], new_folder(spark, "snapshots")
+    snapshots.write(before, key, f"{folder}/before", buckets=16)
+    snapshots.write(after, key, f"{folder}/after", buckets=16)
+    archive = snapshots.stored_changes(spark, f"{folder}/before", f"{folder}/after", before.schema, key)
+    image = T.StructType([f for f in before.schema if f.name not in (*key, "version_id")])
     return archive.select(
-        "invoice",
-        "stock_code",
-        "operation",
-        "version_id",
-        F.get_json_object("payload", "$.quantity").cast("bigint").alias("old_quantity"),
-        F.get_json_object("payload", "$.line_total").cast("double").alias("old_line_total"),
+        *key, "operation", "version_id", F.from_json("payload", image.json()).alias("p")
+    ).select(*key, "operation", "version_id", "p.*").withColumnRenamed("quantity", "old_quantity")
+
+
+@register(
+    "archive_sink",
+    "SELECT CASE WHEN invoice_no % 17 = 0 THEN 'DELETE' ELSE 'UPDATE' END AS operation, CAST(CASE WHEN invoice_no % 17 = 0 THEN 1 ELSE 2 END AS BIGINT) AS version_id,"
+    f" '{LOADED_AT}' AS changed_at, 'clerk' AS changed_by, date_key, customer_key, product_key, '{BATCH}' AS batch_id, txn_year, 1::BIGINT AS old_version,"
+    f" {_OLD_LINES} FROM fact WHERE invoice_no % 17 = 0 OR invoice_no % 13 = 0",
+)
+def archive_sink(spark, sf_dir):
+    """What the archive table holds after a correction of the loaded sales rows."""
+    before = warehouse(spark, sf_dir).fact_sales()
+    corrected = F.col("invoice_no") % 13 == 0
+    after = before.filter("invoice_no % 17 <> 0").withColumns(
+        {
+            "quantity": F.when(corrected, F.col("quantity") + 1).otherwise(F.col("quantity")),
+            "version_id": F.when(corrected, 2).otherwise(F.col("version_id")),
+        }
     )
+    house = Warehouse(spark, new_folder(spark, "warehouse"))
+    house.archive(before, after, LOADED_AT, "clerk")
+    kept = house.fact_sales_archive().withColumn("p", F.from_json("payload", before.schema.json()))
+    return kept.select(
+        "operation", "version_id", "changed_at", "changed_by", "p.date_key", "p.customer_key", "p.product_key", "p.batch_id", "p.txn_year",
+        F.col("p.version_id").alias("old_version"), "p.invoice_no", "p.transaction_type", F.col("p.quantity").alias("old_quantity"),
+        "p.unit_price", "p.line_total", "p.transaction_datetime",
+    )
 
 
 def _declared() -> str:

@@ -36,6 +36,7 @@ from tallyhouse.operators import (
     fact,
     lineage,
     quality,
+    snapshots,
     transform,
     trends,
     verdict,
@@ -168,7 +169,7 @@ class Warehouse:
 
     def archive(self, before: DataFrame, after: DataFrame, changed_at: str, changed_by: str) -> None:
         """Keep the old image of the sales rows that a correction updates or deletes."""
-        changes = lineage.change_archive(before, after, ["sales_key"])
+        changes = snapshots.change_archive(before, after, ["sales_key"])
         changes.select(
             "sales_key",
             "operation",

@@ -1,6 +1,7 @@
 """Operators on small frames against brute force."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import rules
-from tallyhouse.operators import dimensions, duplicates, keys, lineage, missing, outliers
+from tallyhouse.operators import dimensions, duplicates, keys, lineage, missing, outliers, snapshots
 from tallyhouse.operators.carry import carry_last
 from tallyhouse.operators.quantiles import exact_quantiles
 
@@ -207,12 +208,49 @@ def test_upsert_keeps_keys_and_overwrites_attributes(spark):
 def test_archive_holds_old_images(spark):
     old = spark.createDataFrame([(1, 5, None, 1), (2, 6, "x", 1), (3, 7, "y", 1)], "k int, q int, s string, version_id int")
     new = spark.createDataFrame([(1, 5, None, 1), (2, 9, "x", 2)], "k int, q int, s string, version_id int")
-    out = {r.k: r for r in lineage.change_archive(old, new, ["k"]).collect()}
+    out = {r.k: r for r in snapshots.change_archive(old, new, ["k"]).collect()}
     assert set(out) == {2, 3}
     assert (out[2].operation, out[2].version_id, out[3].operation, out[3].version_id) == ("UPDATE", 2, "DELETE", 1)
     assert '"q":6' in out[2].payload
 
 
+def test_snapshots_read_only_what_differs(spark, tmp_path):
+    """Two of 5,000 rows change: two buckets are read, and both ways find the plain loop's rows."""
+    rows = spark.range(5000).selectExpr("id AS k", "if(id % 3 = 0, NULL, id * 2) AS v", "1 AS version_id")
+    later = rows.filter("k <> 7").withColumn("v", F.expr("if(k = 9, 1, v)"))
+    paths = [str(tmp_path / name) for name in ("before", "after")]
+    for df, path in zip((rows, later), paths, strict=True):
+        snapshots.write(df, ["k"], path, 16)
+    found = snapshots.stored_changes(spark, *paths, rows.schema, ["k"])
+    expected = [(7, "DELETE", 1, '{"k":7,"v":14,"version_id":1}'), (9, "UPDATE", 1, '{"k":9,"version_id":1}')]
+    assert sorted(map(tuple, found.collect())) == expected
+    assert sorted(map(tuple, snapshots.change_archive(rows, later, ["k"]).collect())) == expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    buckets = [r[0] for r in rows.filter("k IN (7, 9)").select(snapshots.spots(["k"], 16)["_bucket"]).distinct().collect()]
+    named = [re.findall(r"\d+", part) for part in re.findall(r"PartitionFilters: \[[^\]]*?_bucket#\d+ IN \(([\d,]*)\)", plan)]
+    assert len(named) >= 2 and all(set(map(int, n)) == set(buckets) for n in named), plan
+
+
+def test_equal_snapshots_read_no_rows(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id AS k", "1 AS version_id")
+    for name in ("a", "b"):
+        snapshots.write(rows, ["k"], str(tmp_path / name), 8)
+    found = snapshots.stored_changes(spark, str(tmp_path / "a"), str(tmp_path / "b"), rows.schema, ["k"])
+    assert found.collect() == []
+    assert "FileScan" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_snapshots_of_nothing_and_without_keys(spark, tmp_path):
+    some = spark.createDataFrame([(1, "a", 1), (None, "b", 1), (None, "b", 1)], "k int, s string, version_id int")
+    none = some.limit(0)
+    for name, df in (("some", some), ("none", none)):
+        snapshots.write(df, ["k"], str(tmp_path / name), 8)
+    some_at, none_at = str(tmp_path / "some"), str(tmp_path / "none")
+    gone = snapshots.stored_changes(spark, some_at, none_at, some.schema, ["k"]).collect()
+    assert [(r.k, r.operation) for r in gone] == [(1, "DELETE")]
+    assert snapshots.stored_changes(spark, none_at, some_at, some.schema, ["k"]).collect() == []
+
+
 def test_fingerprint_ignores_order(spark):
     a = spark.createDataFrame([("x", 1), ("y", 2), ("y", 2)], "s string, i int")
     b = spark.createDataFrame([("y", 2), ("x", 1), ("y", 2)], "s string, i int")

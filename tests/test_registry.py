@@ -17,7 +17,7 @@ CHOSEN = [
     "line_verdict_split_invoices", "customer_backfill", "validation_summary", "missing_fill_mode",
     "iqr_bounds", "dedup_keep_latest", "conformed_lines", "date_dimension", "product_scd1_upsert",
     "customer_scd2_history", "scd2_as_of", "fact_build", "sales_summary", "top_products",
-    "customer_stats", "net_revenue_by_type", "quality_suite", "quality_anomalies",
+    "customer_stats", "net_revenue_by_type", "quality_suite", "quality_anomalies", "archive_sink",
     "quality_trend_summary", "referential_integrity", "change_archive", "version_create",
     "streaming_clean", "table_sizes",
 ]
