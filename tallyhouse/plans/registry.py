@@ -43,7 +43,7 @@ from tallyhouse.sources.testdata import (
     sales_view,
     table,
 )
-from tallyhouse.streaming import incremental
+from tallyhouse.streaming import incremental, lateness
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1843,6 +1843,44 @@ def streaming_dedup(spark, sf_dir):
     return kept.unionByName(apart).unionByName(late)
 
 
+_LATE_SPLIT = "2014-06-01"
+_LATE = {
+    "dealt": f"SELECT *, CASE WHEN pos % 11 = 0 THEN 3 WHEN ts < TIMESTAMP '{_LATE_SPLIT}' THEN 1 ELSE 2 END AS delivery FROM typed WHERE is_admitted AND ts IS NOT NULL",
+    "marks": "SELECT (SELECT max(ts) FROM dealt WHERE delivery = 1) - INTERVAL 20 DAY AS second,"
+    " (SELECT max(ts) FROM dealt WHERE delivery < 3) - INTERVAL 20 DAY AS third",
+    "timed": "SELECT d.*, CASE delivery WHEN 2 THEN second WHEN 3 THEN third END AS mark FROM dealt d JOIN marks ON true",
+    "timely": "SELECT *, row_number() OVER (PARTITION BY delivery, invoice, stock_code ORDER BY pos) AS place FROM timed WHERE coalesce(ts > mark, true)",
+    "kept1": "SELECT * FROM timely WHERE delivery = 1 AND place = 1",
+    "kept2": "SELECT * FROM timely t WHERE delivery = 2 AND place = 1 AND NOT EXISTS (SELECT 1 FROM kept1 k"
+    " WHERE k.invoice = t.invoice AND k.stock_code = t.stock_code AND k.ts + INTERVAL 20 DAY > t.mark)",
+    "kept12": "SELECT * FROM kept1 UNION ALL SELECT * FROM kept2",
+    "kept3": "SELECT * FROM timely t WHERE delivery = 3 AND place = 1 AND NOT EXISTS (SELECT 1 FROM kept12 k"
+    " WHERE k.invoice = t.invoice AND k.stock_code = t.stock_code AND k.ts + INTERVAL 20 DAY > t.mark)",
+    "kept": "SELECT seq, pos FROM kept12 UNION ALL SELECT seq, pos FROM kept3",
+}
+
+
+@register(
+    "streaming_late_lines",
+    "SELECT t.seq, t.pos, invoice, stock_code, CAST(delivery - 1 AS BIGINT) AS batch, CASE WHEN ts <= mark THEN 'late' WHEN k.pos IS NOT NULL THEN 'kept' ELSE 'duplicate' END AS outcome"
+    " FROM timed t LEFT JOIN kept k ON t.seq = k.seq AND t.pos = k.pos"
+    " UNION ALL SELECT seq, pos, invoice, stock_code, CASE WHEN pos % 11 = 0 THEN 2 ELSE 1 END, 'undated' FROM typed WHERE is_admitted AND ts IS NULL",
+    _LATE,
+)
+def streaming_late_lines(spark, sf_dir):
+    """Lines in three deliveries, the last of which comes long after its time; each line once, with what became of it."""
+    cleaned = incremental.clean_stream(sales_view(spark, sf_dir))
+    early = F.coalesce(F.col("transaction_datetime") < F.lit(_LATE_SPLIT).cast("timestamp_ntz"), F.lit(False))
+    delivery = F.when(F.col("pos") % 11 == 0, 3).when(early, 1).otherwise(2)
+    folder = new_folder(spark, "stream")
+    cleaned.withColumn("delivery", delivery).write.partitionBy("delivery").parquet(f"{folder}/dealt")
+    ledger = lateness.LateLedger(f"{folder}/ledger", "20 days", ["invoice", "stock_code"], ["pos"])
+    for number in (1, 2, 3):
+        spark.read.schema(cleaned.schema).parquet(f"{folder}/dealt/delivery={number}").write.mode("append").parquet(f"{folder}/inbox")
+        ledger.run(spark.readStream.schema(cleaned.schema).parquet(f"{folder}/inbox"))
+    return ledger.lines(spark, cleaned.schema).select("seq", "pos", "invoice", "stock_code", "batch", "outcome")
+
+
 @register(
     "user_rules",
     """

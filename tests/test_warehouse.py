@@ -14,7 +14,7 @@ from tallyhouse.plans.commits import CommitLog
 from tallyhouse.plans.warehouse import Warehouse, check_table
 from tallyhouse.schemas import RAW_COLUMNS
 from tallyhouse.sources.files import from_table, read_csv, stamp
-from tallyhouse.streaming import incremental
+from tallyhouse.streaming import incremental, lateness
 
 CHECKS = Checks("2016-08-02")
 LOADED = "2016-08-02 00:00:00"
@@ -261,6 +261,45 @@ def test_streaming_dedup_keeps_one_line_per_key(spark, tmp_path):
     assert keys == sorted({(r[0], r[1]) for r in FIRST if r[5] != "£7.65"})
 
 
+def test_late_lines_are_rows(spark, tmp_path):
+    """Three batches against a plain loop; equal rows without numbers, missing times and keys, and a repeated batch."""
+    from datetime import datetime, timedelta
+
+    batches = [
+        [("a", 1, 20), ("a", 1, 20), ("b", 2, 3), (None, 3, 5), (None, 4, 6), ("x", 1, None)],
+        [("a", 1, 21), ("b", 1, 9), ("b", 2, 12), ("c", 1, 40), ("b", 0, 10)],
+        [("a", 1, 31), ("c", 2, 38), ("c", 1, 30), ("c", 1, 39)],
+        [],
+    ]
+    schema = "k string, o int, transaction_datetime timestamp_ntz"
+    day = lambda n: None if n is None else datetime(2020, 1, 1) + timedelta(days=n)
+    ledger = lateness.LateLedger(str(tmp_path / "ledger"), "10 days", ["k"], ["o"])
+    expected, kept, latest = [], [], None
+    for number, lines in enumerate(batches):
+        df = spark.createDataFrame([(k, o, day(n)) for k, o, n in lines], schema)
+        for _ in range(2):
+            ledger.place(df, number)
+        mark = None if latest is None else latest - 10
+        taken = set()
+        for k, o, n in sorted(lines, key=lambda r: r[1]):
+            if n is None:
+                what = "undated"
+            elif mark is not None and n <= mark:
+                what = "late"
+            elif k in taken or any(k == k2 and n2 + 10 > mark for b, k2, n2 in kept if b < number):
+                what = "duplicate"
+            else:
+                what = "kept"
+                kept.append((number, k, n))
+            if what != "undated" and what != "late":
+                taken.add(k)
+            expected.append((k, o, day(n), number, what))
+        latest = max([n for _, _, n in lines if n is not None] + ([] if latest is None else [latest]))
+    found = list(map(tuple, ledger.lines(spark, df.schema).collect()))
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    assert {"kept", "duplicate", "late", "undated"} == {r[4] for r in found}
+
+
 def test_two_loads_at_once(spark, tmp_path, monkeypatch):
     """Both build on the empty warehouse; the slower one starts over, and no key is given twice."""
     from threading import Barrier
