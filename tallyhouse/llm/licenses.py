@@ -1,10 +1,11 @@
 """License scans by diagonal voting, in Spark expressions only.
 
 All rolling word grams of every text are joined, by hash, to the places of license templates. A template place that
-stands d words before its place in the text votes for diagonal d. Neighbouring diagonals, where a few words were put in
-or left out, make a band; a band whose votes reach a share of the template's grams carries the template's label. The
-join compares the grams' words beside their hashes, so each vote is verified. A phrase stands where its template has
-all votes of one diagonal.
+stands d words before its place in the text votes for diagonal d. Four neighbouring diagonals, for up to three words put
+in or left out, make a band; a band whose votes reach a share of the template's grams carries the template's label. The
+join compares the grams' words beside their hashes, so each vote is verified, and as a band does not grow with its
+votes, they all lie in one span of about the template's length. A phrase stands where its template has all votes of
+one diagonal.
 
 Missing and empty texts have no words, no labels and score 0. Rows that share a doc_id are judged each by its own
 text; fully equal rows give one row each, with the same values; a missing doc_id is kept.
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyhouse.llm.words import positions
 
 GRAM = 3
-#: Diagonals at most so far apart belong to one band.
+#: The diagonals of a band are at most so far apart.
 SLACK = 3
 SHARE = 0.7
 
@@ -75,33 +76,25 @@ def scan(docs: DataFrame) -> DataFrame:
     lines = votes.groupBy("doc_id", "row", "n_words", "template", "grams", "base", "label", "diagonal").agg(
         F.count("*").alias("votes"), F.collect_set("at").alias("ats")
     )
-    order = Window.partitionBy("doc_id", "row", "template").orderBy("diagonal")
-    gap = F.col("diagonal") - F.lag("diagonal").over(order)
-    bands = (
-        lines.withColumn("new", F.when(gap <= SLACK, 0).otherwise(1))
-        .withColumn("band", F.sum("new").over(order))
-        .groupBy("doc_id", "row", "n_words", "template", "grams", "base", "label", "band")
-        .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("seen"),
-            # Repeated rows of one text vote alike; their votes are counted once.
-            F.sum(F.when(F.size("ats") == F.col("grams"), 1).otherwise(0)).alias("whole"),
-            F.min(F.when(F.size("ats") == F.col("grams"), F.col("diagonal"))).alias("first"),
-            F.max(F.when(F.size("ats") == F.col("grams"), F.col("diagonal"))).alias("last"),
-            F.max("votes").alias("copies"),
-        )
+    # The votes of a band of SLACK + 1 diagonals lie in one span, longer than the template by SLACK words at most, and
+    # stand in the template's order but for as many places.
+    band = Window.partitionBy("doc_id", "row", "template").orderBy("diagonal").rangeBetween(0, SLACK)
+    whole = F.size("ats") == F.col("grams")
+    told = lines.withColumn("whole", whole).withColumn(
+        "share",
+        F.when(F.col("template") >= 0, F.size(F.array_distinct(F.flatten(F.collect_list("ats").over(band)))) / F.col("grams")).otherwise(0.0),
     )
-    told = bands.withColumn("share", F.when(F.col("template") >= 0, F.col("seen") / F.col("grams")).otherwise(0.0))
-    is_base = F.col("base") & (F.col("whole") > 0)
+    is_base = F.col("base") & F.col("whole")
     labels = lambda rule: F.array_join(F.array_sort(F.collect_set(F.when(rule, F.col("label")))), ",")
     per_text = told.groupBy("doc_id", "row", "n_words").agg(
-        F.coalesce(F.sum(F.when(is_base, F.col("whole"))), F.lit(0)).cast("long").alias("n_base"),
-        F.min(F.when(is_base, F.col("first"))).cast("long").alias("first_word"),
-        F.max(F.when(is_base, F.col("last"))).cast("long").alias("last_word"),
+        F.count_if(is_base).alias("n_base"),
+        F.min(F.when(is_base, F.col("diagonal"))).cast("long").alias("first_word"),
+        F.max(F.when(is_base, F.col("diagonal"))).cast("long").alias("last_word"),
         labels(is_base).alias("base_labels"),
         labels((F.col("template") >= 0) & (F.col("share") >= SHARE)).alias("labels"),
         F.max("share").cast("double").alias("score"),
-        F.max(F.when(F.col("template") < 0, F.col("copies"))).alias("copies"),
+        # Repeated rows of one text vote alike; the marker has one vote for each of them.
+        F.max(F.when(F.col("template") < 0, F.col("votes"))).alias("copies"),
     )
     out = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
-    # The marker has one vote for each equal row.
     return per_text.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*out)

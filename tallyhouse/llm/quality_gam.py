@@ -194,7 +194,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", use: Colum
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "x": [features(t) for t in frame["text"]]})
 
-    got = rows.mapInPandas(measure, "doc_id long, label int, x array<float>").toPandas().sort_values(["doc_id", "label"])
+    # An id that many rows share brings them all to the join, so the rows of numbers are bounded as well.
+    measured = rows.mapInPandas(measure, "doc_id long, label int, x array<float>")
+    bounded = measured.orderBy(F.xxhash64("doc_id"), "doc_id", "label", "x").limit(SAMPLE)
+    got = bounded.toPandas().sort_values(["doc_id", "label"], kind="stable")
     x = np.array(got["x"].tolist(), np.float32).reshape(-1, len(FEATURES))
     return fit(x, got["label"].to_numpy(np.float64))
 

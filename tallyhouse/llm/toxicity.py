@@ -166,12 +166,24 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, use: Column) -> DataFrame:
-    """doc_id, text, label of a bounded number of labelled documents."""
+    """doc_id, text, label of a bounded number of labelled texts; fully equal rows count once.
+
+    Labels are cut down first, so the join sends a bounded table to the scan of the texts. An id that many rows share
+    brings them all to that join, so its texts' hashes are cut down again, and only texts chosen by both are stored.
+    """
+    sizes = ((1, TOXIC_SAMPLE), (0, CLEAN_SAMPLE))
+
+    def cut(rows: DataFrame, *order: str) -> DataFrame:
+        by = [F.xxhash64("doc_id"), "doc_id", *order]
+        parts = [rows.filter(F.col("label") == k).orderBy(*by).limit(n) for k, n in sizes]
+        return parts[0].unionByName(parts[1])
+
     ready = labels.select("doc_id", F.col("toxic").cast("int").alias("label")).filter(F.col("doc_id").isNotNull() & use)
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    parts = [ready.filter(F.col("label") == k).orderBy(*order).limit(n) for k, n in ((1, TOXIC_SAMPLE), (0, CLEAN_SAMPLE))]
-    chosen = parts[0].unionByName(parts[1])
-    return stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label"), "labelled")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text")
+    met = stored(texts.join(F.broadcast(cut(ready)), "doc_id").select("doc_id", "hash", "label").distinct(), "labelled_ids")
+    chosen = cut(met, "hash")
+    found = texts.join(F.broadcast(chosen), ["doc_id", "hash"])
+    return stored(found.groupBy("doc_id", "hash", "label").agg(F.first("text").alias("text")).select("doc_id", "text", "label"), "labelled")
 
 
 def _words(rows: DataFrame) -> DataFrame:

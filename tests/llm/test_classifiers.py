@@ -29,6 +29,22 @@ def test_toxicity_on_held_out_documents(spark):
     assert accuracy(spark, "op10_toxicity", "toxic", 3, 1) >= 0.85
 
 
+def test_samples_are_bounded_where_many_rows_share_an_id(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("if(id % 2 = 0, 7, id) AS doc_id", "concat('text number ', id % 1500) AS text")
+    labels = spark.createDataFrame([(7, 1, 1)] + [(i, i % 3 % 2, 0) for i in range(1, 99, 2) if i != 7], "doc_id long, quality int, toxic int")
+    taken = []
+    monkeypatch.setattr(quality_gam, "SAMPLE", 60)
+    monkeypatch.setattr(quality_gam, "fit", lambda x, y: taken.append((len(x), len(y))))
+    quality_gam.train(docs, labels)
+    assert taken == [(60, 60)]
+    monkeypatch.setattr(toxicity, "TOXIC_SAMPLE", 20)
+    monkeypatch.setattr(toxicity, "CLEAN_SAMPLE", 30)
+    chosen = toxicity._sample(docs, labels, F.lit(True)).collect()
+    assert sorted(r.label for r in chosen) == [0] * 30 + [1] * 20
+    assert len({(r.doc_id, r.text) for r in chosen}) == 50
+    assert {(r.doc_id, r.text) for r in chosen} <= {(r.doc_id, r.text) for r in docs.collect()}
+
+
 def test_tables_and_pairs_learn_what_they_must():
     """One rule on a single feature, one that only shows in two features together."""
     x = np.random.default_rng(0).random((4000, 4)).astype(np.float32)

@@ -1,4 +1,5 @@
 import hashlib
+import re
 
 import duckdb
 import pytest
@@ -140,6 +141,32 @@ def test_licenses_equal_the_plain_version(spark):
     assert not found
 
 
+def plain_share(text, template):
+    """The most grams of a template that lie, each at its place or up to SLACK words later, in one span."""
+    words, want = re.findall(licenses._WORD, (text or "").lower()), template.split()
+    n = len(want) - licenses.GRAM + 1
+    gram = lambda w, i: tuple(w[i : i + licenses.GRAM])
+    votes = {(s - t, t) for s in range(len(words) - licenses.GRAM + 1) for t in range(n) if gram(words, s) == gram(want, t)}
+    return max((len({t for d, t in votes if low <= d <= low + licenses.SLACK}) / n for low, _ in votes), default=0.0)
+
+
+def test_license_labels_need_one_span(spark):
+    """Grams of a template one after another, or far apart, are not the license; a few words put in or left out are."""
+    gpl = "licensed under the gnu general public license version 3".split()
+    grams = [" ".join(gpl[i : i + 3]) for i in range(len(gpl) - 2)]
+    texts = {
+        1: " ".join(grams), 2: " and some other words of no note ".join(grams), 3: " ".join(grams[::-1]), 4: " ".join(gpl),
+        5: " ".join([*gpl[:5], "and", "free", *gpl[5:]]), 6: " ".join([*gpl[:4], *gpl[5:]]), 7: " ".join(gpl[:8]), 8: "x " * 3000 + " ".join(gpl),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    for doc_id, text in texts.items():
+        shares = {(t, label): plain_share(text, t) for t, label in licenses.BASE + licenses.TEMPLATES}
+        assert found[doc_id].score == max(shares.values())
+        assert found[doc_id].labels == ",".join(sorted({label for (_, label), v in shares.items() if v >= licenses.SHARE}))
+    assert [i for i in texts if "gpl-3" in found[i].labels] == [4, 5, 7, 8]
+
+
 def test_licenses_of_odd_rows(spark):
     docs = cases.documents(spark)
     assert licenses.scan(docs).count() == docs.count()
