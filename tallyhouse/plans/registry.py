@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions import classify, cleaning, rules, validation
+from tallyhouse.functions import classify, cleaning, free_dates, rules, validation
 from tallyhouse.operators import (
     analytics,
     catalog,
@@ -471,6 +471,32 @@ def cleaning_rule_counts(spark, sf_dir):
     return rules.rule_counts(sales_view(spark, sf_dir), rules.CLEANING_RULES)
 
 
+_BY_HAND = [
+    ("d MMM yyyy", "%-d %b %Y", ""), ("MMMM d, yyyy h:mm a", "%B %-d, %Y %-I:%M %p", ""), ("EEE, dd MMM yyyy HH:mm:ss 'GMT'", "%a, %d %b %Y %H:%M:%S GMT", ""),
+    ("yyyyMMdd'T'HHmmss", "%Y%m%dT%H%M%S", ""), ("yyyy-MMM-dd", "%Y-%b-%d", ""), ("dd.MM.yyyy HH:mm", "%d.%m.%Y %H:%M", ""),
+    ("yyyy-MM-dd'T'HH:mm:ss'+0230'", "%Y-%m-%dT%H:%M:%S+0230", " - INTERVAL 150 MINUTE"),
+]
+
+
+@register(
+    "clean_date_free",
+    "SELECT o_orderkey, CAST(CASE "
+    + " ".join(
+        f"WHEN o_orderkey % {len(_BY_HAND)} = {i} THEN strptime(strftime(moment, '{written}'), '{written}'){moved}"
+        for i, (_, written, moved) in enumerate(_BY_HAND)
+    )
+    + " END AS VARCHAR) AS parsed FROM (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400) AS moment FROM orders)",
+)
+def clean_date_free(spark, sf_dir):
+    """Order times written by hand in seven layouts and read back; a layout without a clock gives midnight."""
+    at = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("o_orderkey") % 86400)
+    written = F
+    for i, (layout, _, _) in enumerate(_BY_HAND):
+        written = written.when(F.col("o_orderkey") % len(_BY_HAND) == i, F.date_format(at, layout))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", written.alias("text"))
+    return orders.select("o_orderkey", free_dates.clean_date_free(F.col("text")).alias("parsed"))
+
+
 # ---- validation
 
 

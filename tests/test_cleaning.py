@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import cleaning, validation
+from tallyhouse.functions import cleaning, free_dates, validation
 from tallyhouse.functions.text import title_case
 
 
@@ -119,6 +119,44 @@ def test_date(spark):
     check(spark, cleaning.clean_date, DATES)
 
 
+# Every layout of FREE is one that `clean_date` turns down.
+FREE = {
+    "1 Dec 2010": datetime(2010, 12, 1),
+    "01-Dec-2010": datetime(2010, 12, 1),
+    "1-dec-10 8:26": datetime(2010, 12, 1, 8, 26),
+    "1st of December 2010": datetime(2010, 12, 1),
+    "Dec 1, 2010": datetime(2010, 12, 1),
+    "Dec 1, 2010 8:26 AM": datetime(2010, 12, 1, 8, 26),
+    "December 22nd, 2010 at 8:26:07 p.m.": datetime(2010, 12, 22, 20, 26, 7),
+    "Wed, 01 Dec 2010 08:26:00 GMT": datetime(2010, 12, 1, 8, 26),
+    "Wednesday 1 December 2010": datetime(2010, 12, 1),
+    "2010-Dec-01": datetime(2010, 12, 1),
+    "2010 Sept. 3": datetime(2010, 9, 3),
+    "May 2010": datetime(2010, 5, 1),
+    "20101201": datetime(2010, 12, 1),
+    "20101201T082600": datetime(2010, 12, 1, 8, 26),
+    "20101201 0826": datetime(2010, 12, 1, 8, 26),
+    "01.12.2010": datetime(2010, 12, 1),
+    "31.12.2010 23:59": datetime(2010, 12, 31, 23, 59),
+    "12.31.2010": datetime(2010, 12, 31),
+    "1/12/10": datetime(2010, 12, 1),
+    "1/12/69 8:26": datetime(1969, 12, 1, 8, 26),
+    "12/1/2010 12:05 am": datetime(2010, 1, 12, 0, 5),
+    "12/1/2010 12 PM": datetime(2010, 1, 12, 12),
+    "2010-12-01T08:26:00+02:00": datetime(2010, 12, 1, 6, 26),
+    "2010-12-01 23:30:00 -0100": datetime(2010, 12, 2, 0, 30),
+}
+NOT_DATES = ["30 Feb 2010", "Dec 2010 Jan", "1 Dec", "13:61 1 Dec 2010", "1 Dec 2010 13:00 pm", "Decade 1 2010", "8:26", "1 2",
+             "2010", "x 1 Dec 2010", "32 Dec 2010", "1 Dec 2010 25:00", "20101301", "mayday 1 2010", "may", "@", "1 @ 2010"]
+
+
+def test_free_dates(spark):
+    check(spark, free_dates.clean_date_free, {**DATES, **FREE, **dict.fromkeys(NOT_DATES)})
+    check(spark, cleaning.clean_date, dict.fromkeys(FREE))
+    df = spark.createDataFrame([("1 Dec 2010",)], "t string").select(free_dates.clean_date_free(F.col("t")))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("zone", ["America/New_York", "Europe/London"])
 def test_date_does_not_depend_on_the_session_time_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
