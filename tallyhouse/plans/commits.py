@@ -14,23 +14,23 @@ SCHEMA = "load_no int, batch_id string, folder string, loaded_at timestamp_ntz,
 
 
 class CommitLog:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, schema: str = SCHEMA):
+        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
 
     def rows(self) -> DataFrame:
         """One row per finished load."""
         if not self._hadoop(self.root)[1].exists(self._hadoop(self.root)[0]):
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).option("pathGlobFilter", "*.json").json(self.root)
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).option("pathGlobFilter", "*.json").json(self.root)
 
     def publish(self, number: int, row: dict[str, Any]) -> bool:
         """Put the row under its number in one step; False if the number is taken.
 
-        The row is written under another name first, so that no reader sees half of it.
+        `number` goes into the row's first column. The row is written under another name first, so that no reader sees half of it.
         """
         waiting, files = self._hadoop(f"{self.root}/.{uuid.uuid4().hex}.tmp")
         out = files.create(waiting, False)
-        out.write(bytearray(json.dumps({**row, "load_no": number}).encode()))
+        out.write(bytearray(json.dumps({**row, self.schema.split()[0]: number}).encode()))
         out.close()
         try:
             return self._move(waiting, self._hadoop(f"{self.root}/{number:08d}.json")[0], files)

@@ -6,6 +6,7 @@ halfway leaves nothing a reader sees, a batch that is already in the log is not
 loaded again, and of two loads at once the slower one builds anew on the other.
 
     <root>/loads/<number>.json             one file per finished load
+    <root>/merges/<number>.json            the folders to read since a merge of loads, see plans/compaction
     <root>/feeds/<feed>/...                accepted keys of a feed, see operators/feed_state
     <root>/landed/load_id=...              every raw line as it came, numbered
     <root>/judged/load_id=.../verdict=...  every raw line with its verdict
@@ -43,6 +44,7 @@ from tallyhouse.operators import (
 )
 from tallyhouse.operators.feed_state import FeedState
 from tallyhouse.plans.commits import CommitLog
+from tallyhouse.plans.compaction import Merges, remove_older
 from tallyhouse.sources.files import stamp
 from tallyhouse.schemas import RAW_COLUMNS
 
@@ -57,16 +59,19 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
         self.log = CommitLog(spark, f"{self.root}/loads")
+        self.merges = Merges(spark, f"{self.root}/merges")
 
     # ---- reading
 
     def loads(self) -> DataFrame:
         return self.log.rows()
 
-    def _folders(self) -> list[str]:
-        """Names of finished loads, oldest first; one row per load."""
-        rows = self.loads().orderBy("load_no").select("folder").collect()
-        return [r.folder for r in rows]
+    def _folders(self, finished: list | None = None) -> list[str]:
+        """Folders to read, oldest first: what merges have left, then one per load since."""
+        merged = self.merges.last()
+        if finished is None:  # after the merges, so that it knows every load they name
+            finished = self.loads().orderBy("load_no").collect()
+        return [*merged.folders, *(r.folder for r in finished if r.load_no > merged.upto)]
 
     def _all(self, table: str, schema, folders: list[str] | None = None, extra: tuple = ()) -> DataFrame:
         """One scan over the table's folders of all finished loads, however many they are."""
@@ -137,9 +142,10 @@ class Warehouse:
         """Sets of the keys sold, by day and load."""
         return self._all("day_keys", day_counts.KEYS_SCHEMA)
 
-    def judged_by_load(self) -> DataFrame:
-        """The same with the load's folder, whose name begins with the load's number."""
-        return self._all("judged", schemas.JUDGED, extra=("load_id",))
+    def judged_by_load(self, folders: list[str] | None = None) -> DataFrame:
+        """The same with the load's folder, whose name begins with the load's number; merged lines keep theirs."""
+        rows = self._all("judged", schemas.JUDGED_MERGED, folders, extra=("load_id",))
+        return rows.withColumn("load_id", F.coalesce("merged_from", "load_id")).drop("merged_from")
 
     def lines(self) -> DataFrame:
         """Accepted lines in conformed shape; reads one folder level only."""
@@ -236,7 +242,7 @@ class Warehouse:
         load_no = (finished[-1].load_no if finished else 0) + 1
         folder = f"{load_no:08d}-{uuid.uuid4().hex}"
         home = partial(self._place, folder=folder)
-        earlier = [r.folder for r in finished]
+        earlier = self._folders(finished)
         state = prior = None
         if run.feed is not None:
             state = FeedState(self.spark, f"{self.root}/feeds/{run.feed}")
@@ -400,6 +406,80 @@ class Warehouse:
                 "overwrite"
             ).option("partitionOverwriteMode", "dynamic").parquet(f"{path}/{name}")
 
+    # ---- upkeep
+
+    def compact(self, whole: bool = False) -> list[str]:
+        """Merge the folders of the newest loads into one; returns the folders merged, none if nothing is worth it.
+
+        Merged is what is not larger than all newer folders together, so every folder that stays is larger than the
+        rest behind it: their number grows with the logarithm of the bytes, and a row is written anew about as often.
+        Readers and loads that run meanwhile keep the old folders. `whole` merges everything.
+        """
+        before = self.merges.last()
+        finished = self.loads().orderBy("load_no").collect()
+        folders = self._folders(finished)
+        taken = folders if whole else folders[_tail(self._bytes(folders)) :]
+        if len(taken) < 2:
+            return []
+        upto = finished[-1].load_no
+        folder = f"{upto:08d}-{uuid.uuid4().hex}"
+        known = self._folder_tables(taken)
+        _at_once(*[partial(self._merge, df, self._place(n, folder)) for n, df in known.items()])
+        kept = folders[: len(folders) - len(taken)]
+        if not self.merges.publish(before, upto, [*kept, folder], _now()):
+            return []  # another merge was first; what this one wrote is never read
+        return taken
+
+    def _folder_tables(self, folders: list[str]) -> dict[str, DataFrame]:
+        """All that a load writes for readers."""
+        schemas_ = {
+            "unresolved": schemas.JUDGED,
+            "fact_sales": schemas.FACT_SALES,
+            "dim_date": schemas.DIM_DATE,
+            "dim_customer": schemas.DIM_CUSTOMER,
+            "day_totals": day_counts.TOTALS_SCHEMA,
+            "day_keys": day_counts.KEYS_SCHEMA,
+            "data_versions": schemas.DATA_VERSIONS,
+            "data_lineage": schemas.DATA_LINEAGE,
+            "data_quality_metrics": schemas.DATA_QUALITY_METRICS,
+            "data_quality_alerts": schemas.DATA_QUALITY_ALERTS,
+        }
+        found = {n: self._all(n, schema, folders) for n, schema in schemas_.items()}
+        found["dim_product"] = self._products(folders)
+        found["judged"] = self.judged_by_load(folders).withColumnRenamed("load_id", "merged_from")
+        return found
+
+    def _merge(self, df: DataFrame, path: str) -> None:
+        """Files of Spark's advisory size; a hot year or verdict is cut into several."""
+        by = [n for n in ("txn_year", "verdict") if n in df.columns and "unresolved" not in path.split("/")[-2]]
+        df.hint("rebalance", *[F.col(n) for n in by]).write.partitionBy(*by).parquet(path)
+
+    def _bytes(self, folders: list[str]) -> list[int]:
+        """Bytes of each folder's lines and sales."""
+        return [sum(self._length(self._place(t, f)) for t in ("judged", "fact_sales")) for f in folders]
+
+    def _length(self, path: str) -> int:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+
+    def remove_unread(self, before: datetime) -> list[str]:
+        """Delete folders that no reader has seen since `before` (UTC); returns them.
+
+        These are folders merged away, what a load needs only while it runs, and what lost or failed loads and
+        merges have left. `before` must lie further back than any load or query that still runs. The logs stay: a
+        number that is taken must never become free.
+        """
+        finished = self.loads().orderBy("load_no").collect()
+        read = set()
+        for state in self.merges.since(before):
+            read |= {*state.folders, *(r.folder for r in finished if r.load_no > state.upto)}
+        passing = ("landed", "line_starts", "dim_date_members", "dim_product_members", "dim_customer_members")
+        gone = []
+        for table in (*passing, *self._folder_tables([])):
+            keep = set() if table in passing else {f"load_id={f}" for f in read}
+            gone += remove_older(self.spark, f"{self.root}/{table}", keep, before)
+        return gone
+
     def _exists(self, path: str) -> bool:
         jvm = self.spark._jvm
         hadoop = jvm.org.apache.hadoop.fs.Path(path)
@@ -485,6 +565,15 @@ def check_table(warehouse: Warehouse, table: str, as_of: str) -> dict[str, DataF
     }
 
 
+def _tail(sizes: list[int]) -> int:
+    """Where the newest folders begin of which none is larger than all newer ones together."""
+    start, total = len(sizes) - 1, sizes[-1] if sizes else 0
+    while start > 0 and sizes[start - 1] <= total:
+        start -= 1
+        total += sizes[start]
+    return max(start, 0)
+
+
 def _at_once(*jobs: Callable) -> list:
     """Run independent Spark jobs side by side and wait for all of them."""
     with ThreadPoolExecutor(len(jobs)) as pool:

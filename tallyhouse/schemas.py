@@ -103,6 +103,9 @@ JUDGED = _table(
     " verdict string"
 )
 
+# Lines of merged loads also say which load they came with.
+JUDGED_MERGED = T.StructType([*JUDGED.fields, T.StructField("merged_from", T.StringType())])
+
 FACT_SALES = _table(
     "sales_key bigint, date_key int, version_id int,"
     " version_created_at timestamp, customer_key bigint,"

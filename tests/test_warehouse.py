@@ -3,6 +3,7 @@
 import csv
 import os
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from tallyhouse.operators import analytics, catalog, day_counts, quality
 from tallyhouse.operators.verdict import Checks
 from tallyhouse.operators.feed_state import FeedState, bucket_of
 from tallyhouse.plans.commits import CommitLog
-from tallyhouse.plans.warehouse import Warehouse, check_table
+from tallyhouse.plans.warehouse import Warehouse, _tail, check_table
 from tallyhouse.schemas import RAW_COLUMNS
 from tallyhouse.sources.files import from_table, read_csv, stamp
 from tallyhouse.streaming import incremental, lateness
@@ -444,3 +445,70 @@ def test_key_sets_hold_all_keys(spark):
         last = [r for r in rows if r[0] >= f"2020-01-0{first}"]
         found = {r.key: r.distinct_keys for r in day_counts.distinct_keys(sets.filter(f"day >= '2020-01-0{first}'")).collect()}
         assert found == {"customer_key": len({r[1] for r in last}), "product_key": len({r[2] for r in last} - {None})}
+
+
+def _loaded_in_turn(spark, tmp_path, n):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    for i in range(n):
+        rows = [["%d" % (536400 + i), "NEW%d" % (i % 3), "LAMP " * (i + 1), "1", "2012-03-%02d" % (i + 1), "10", "12.0", "France"], FIRST[0]]
+        raw = read_csv(spark, write(tmp_path / f"{i}.csv", rows))
+        house.load(raw, CHECKS, f"batch-{i}", f"2016-08-02 00:00:{i:02d}", feed="f")
+    return house
+
+
+def _content(house):
+    found = {n: df for n, df in house.tables().items() if n != "dim_transaction_type"}
+    found |= {"judged": house.judged_by_load(), "quarantine": house.quarantine(), "day_keys": house.day_keys(), "day_totals": house.day_totals()}
+    return {n: sorted(repr(sorted(r.asDict().items())) for r in df.collect()) for n, df in found.items()}
+
+
+def test_merged_loads_read_the_same(spark, tmp_path):
+    house = _loaded_in_turn(spark, tmp_path, 4)
+    before, old = _content(house), house.fact_sales()
+    old_folders = house._folders()
+    taken = house.compact(whole=True)
+    assert taken == old_folders and len(house._folders()) == 1
+    assert _content(house) == before
+    assert house.compact() == []
+    # A reader that planned before the merge is not disturbed; nor by removing what was unread before it.
+    house.remove_unread(datetime(2000, 1, 1))
+    assert old.count() == len(before["fact_sales"])
+    # A repeated batch stays known, a later load goes on with keys, feed and products, and merges again.
+    raw = read_csv(spark, write(tmp_path / "more.csv", [FIRST[0], ["536500", "NEW0", "LAMP", "2", "2012-04-01", "10", "12.0", "France"]]))
+    assert house.load(raw, CHECKS, "batch-0", LOADED, feed="f") == {}
+    counts = house.load(raw, CHECKS, "more", "2016-08-02 00:01:00", feed="f")
+    assert (counts["records_inserted"], counts["records_rejected"]) == (1, 1)
+    keys = [r.sales_key for r in house.fact_sales().collect()]
+    assert len(set(keys)) == len(keys) == 6
+    before = _content(house)
+    assert len(house.compact(whole=True)) == 2 and _content(house) == before
+    assert {r.load_id[:8] for r in house.judged_by_load().collect()} == {f"{i:08d}" for i in range(1, 6)}
+    gone = house.remove_unread(datetime(2100, 1, 1))
+    assert gone and _content(house) == before
+    assert len(os.listdir(tmp_path / "house/fact_sales")) == 1 and not os.listdir(tmp_path / "house/landed")
+    assert house.loads().count() == 5 and house.remove_unread(datetime(2100, 1, 1)) == []
+
+
+def test_of_two_merges_one_counts(spark, tmp_path):
+    house = _loaded_in_turn(spark, tmp_path, 2)
+    before = house.merges.last()
+    assert house.merges.publish(before, 2, ["x"], datetime(2016, 8, 2))
+    assert not house.merges.publish(before, 2, ["y"], datetime(2016, 8, 2))
+    assert house.merges.last().folders == ("x",)
+
+
+def test_a_merge_takes_the_small_folders_at_the_end():
+    assert _tail([]) == 0 and _tail([5]) == 0
+    assert _tail([100, 10, 4, 2, 2]) == 2  # 2 + 2, then 4, but not 10
+    assert _tail([1] * 50) == 0
+    sizes = []
+    for _ in range(1000):  # loads of one size, merged after each
+        sizes.append(1)
+        start = _tail(sizes)
+        sizes = [*sizes[:start], sum(sizes[start:])]
+        assert len(sizes) <= 11
+
+
+def test_merging_an_empty_warehouse(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "house"))
+    assert house.compact() == [] and house.remove_unread(datetime(2100, 1, 1)) == []
