@@ -3,6 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.functions.rules import CLEANING_RULES, Rule
+from tallyhouse.operators import lineage
+from tallyhouse.schemas import DEFAULTS, RAW_COLUMNS, REQUIRED
+
 # What each table and column holds.
 TABLE_DESCRIPTIONS = {
     "fact_sales": "Core sales transactions with foreign keys to dimension tables",
@@ -40,9 +44,20 @@ RELATIONSHIPS = [
     ("fact_sales", "version_id", "data_versions", "version_id"),
 ]
 
+# Dimension, the source columns it is made of, how it keeps changes.
+DIMENSIONS = [
+    ("dim_customer", ["CustomerID", "Country"], "SCD2"),
+    ("dim_product", ["StockCode", "Description"], "SCD1"),
+    ("dim_date", ["InvoiceDate"], "insert if absent"),
+]
+
 
 def column_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per column, from the frames' own schemas."""
+    """One row per column, from the frames' own schemas.
+
+    A Parquet column may always be null; whether it is meant to be is declared. Tables the package does not declare
+    say what their frames say.
+    """
     rows = [
         (
             name,
@@ -50,7 +65,8 @@ def column_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFra
             field.name,
             place,
             field.dataType.simpleString(),
-            field.nullable,
+            field.name not in REQUIRED[name] if name in REQUIRED else field.nullable,
+            DEFAULTS.get((name, field.name)),
             COLUMN_DESCRIPTIONS.get((name, field.name), f"Column: {field.name}"),
         )
         for name, df in tables.items()
@@ -60,7 +76,7 @@ def column_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFra
         rows,
         "table_name string, table_description string, column_name string,"
         " ordinal_position int, data_type string, is_nullable boolean,"
-        " column_description string",
+        " column_default string, column_description string",
     )
 
 
@@ -97,8 +113,8 @@ def relationships(spark: SparkSession) -> DataFrame:
     )
 
 
-def export_dictionary(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> None:
-    """The data dictionary as JSON lines, one document per table."""
+def dictionary(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per table: its meaning, its columns with the values they hold, its size and its parents."""
     columns = column_catalog(spark, tables).join(
         filled_columns(tables), ["table_name", "column_name"]
     )
@@ -109,7 +125,7 @@ def export_dictionary(spark: SparkSession, tables: dict[str, DataFrame], path: s
         .agg(F.sort_array(F.collect_list(F.struct("child_column", "parent_table", "parent_column"))).alias("relationships"))
     )
     # A table has a fixed number of columns, so these lists cannot grow with data.
-    documents = (
+    return (
         columns.groupBy("table_name", "table_description")
         .agg(
             F.sort_array(
@@ -119,6 +135,7 @@ def export_dictionary(spark: SparkSession, tables: dict[str, DataFrame], path: s
                         "column_name",
                         "data_type",
                         "is_nullable",
+                        "column_default",
                         "column_description",
                         "non_null",
                     )
@@ -128,7 +145,67 @@ def export_dictionary(spark: SparkSession, tables: dict[str, DataFrame], path: s
         .join(sizes, "table_name")
         .join(parents, "table_name", "left")
     )
-    documents.write.json(path)
+
+
+def export_dictionary(spark: SparkSession, tables: dict[str, DataFrame], path: str) -> None:
+    """The data dictionary as JSON lines, one document per table."""
+    dictionary(spark, tables).write.json(path)
+
+
+def sources(runs: DataFrame) -> DataFrame:
+    """What the warehouse was loaded from, told by its finished runs; one row per source."""
+    return (
+        runs.filter("status = 'SUCCESS'")
+        .groupBy("source_system", "source_file")
+        .agg(
+            F.count(F.lit(1)).alias("loads"),
+            F.sum("records_processed").alias("records_processed"),
+            F.sum("records_rejected").alias("records_rejected"),
+            F.min("created_at").alias("first_loaded"),
+            F.max("created_at").alias("last_loaded"),
+        )
+        .withColumn("columns", F.array(*map(F.lit, RAW_COLUMNS)))
+    )
+
+
+def transformations(spark: SparkSession, rules: list[Rule]) -> DataFrame:
+    """What happens to a line on its way: the rules as they are set, the dimensions, the fact; one row per step."""
+    steps = [
+        ("data_cleaning" if r in CLEANING_RULES else "validation", r.name, r.columns, r.severity if r.enabled else "OFF")
+        for r in rules
+    ]
+    steps += [("dimension_creation", *d) for d in DIMENSIONS]
+    steps.append(("fact_creation", "fact_sales", [c for t, c, _, _ in RELATIONSHIPS if t == "fact_sales"], "one row per accepted line"))
+    return spark.createDataFrame(steps, "process string, name string, columns array<string>, mode string")
+
+
+def repository(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    runs: DataFrame,
+    storage: DataFrame,
+    rules: list[Rule],
+    recent: int = 5,
+) -> DataFrame:
+    """Everything known about a warehouse: section, name and a JSON document per row.
+
+    `storage` has one row per table, its name first. All sections are of a size that does not grow with the data but
+    for the sources, one row each.
+    """
+
+    def section(label: str, name, df: DataFrame) -> DataFrame:
+        document = F.to_json(F.struct(*df.columns))
+        return df.select(F.lit(label).alias("section"), name.alias("name"), document.alias("document"))
+
+    return _union(
+        [
+            section("data_dictionary", F.col("table_name"), dictionary(spark, tables)),
+            section("data_sources", F.concat_ws(":", "source_system", "source_file"), sources(runs)),
+            section("transformations", F.col("name"), transformations(spark, rules)),
+            section("storage_locations", F.col("table_name"), storage),
+            section("recent_runs", F.col("batch_id"), lineage.recent_runs(runs, recent)),
+        ]
+    )
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:

@@ -6,7 +6,7 @@ that view has filled; the load runs once per session and data folder.
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,10 +29,11 @@ from tallyhouse.operators import (
     verdict,
 )
 from tallyhouse.operators.feed_state import FeedState
+from tallyhouse.plans.oracle_catalog import CATALOG_ROWS
 from tallyhouse.plans.oracle_views import VIEWS
 from tallyhouse.plans.oracle_views import query as sql
 from tallyhouse.plans.warehouse import Warehouse, alert_rows
-from tallyhouse.schemas import RAW_COLUMNS, TABLES
+from tallyhouse.schemas import RAW_COLUMNS
 from tallyhouse.session import new_folder, tune
 from tallyhouse.sources import files
 from tallyhouse.sources.testdata import (
@@ -52,7 +53,7 @@ ORACLES: dict[str, str] = {}
 
 CHECKS = verdict.Checks(SALES_AS_OF)
 BATCH = "batch-1"
-_WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
+_WAREHOUSES: dict[tuple[str, ...], Warehouse] = {}
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -100,6 +101,25 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return _WAREHOUSES[at]
 
 
+def warehouse_of_three(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse that one feed has filled in three loads, merged since; once per session and folder.
+
+    An invoice's lines come in different loads: a line's place begins with its number in the order.
+    """
+    at = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), "three")
+    if at not in _WAREHOUSES:
+        opened, raw = Warehouse(spark, new_folder(spark, "warehouse")), sales_view(spark, sf_dir)
+        for i, (first, end) in enumerate(((0, 3), (3, 5), (5, 2000)), start=1):
+            part = raw.filter((F.col("pos") >= first * 2**52) & (F.col("pos") < end * 2**52))
+            opened.load(part, CHECKS, f"part-{i}", f"{LOADED_AT[:10]} 0{i}:00:00", source_file=f"part-{i}.csv", feed="sales")
+        opened.compact(whole=True)
+        _WAREHOUSES[at] = opened
+    return _WAREHOUSES[at]
+
+
+# Which of the three loads a line comes with.
+_PART = "CASE WHEN pos < 3 * 4503599627370496 THEN 1 WHEN pos < 5 * 4503599627370496 THEN 2 ELSE 3 END"
+
 _HISTORY_AT = f"TIMESTAMP '{EVENTS_AS_OF}'"
 _TREND = {
     "days": f"SELECT CAST(measured_at AS DATE) AS day, avg(CAST(metric_value AS DOUBLE)) AS avg_score, count(*) AS checks_count,"
@@ -424,6 +444,56 @@ def dictionary_export(spark, sf_dir):
     return spark.read.json(folder).select("table_name", "row_count")
 
 
+@register(
+    "repository_export",
+    f"""
+    SELECT 'data_dictionary' AS section, s.table_name AS name, s.row_count AS amount, CAST(n AS VARCHAR) || ' columns, parents: ' || parents AS detail
+    FROM ({_SIZES}) s JOIN (VALUES ('data_lineage', 18, ''), ('data_quality_alerts', 4, ''), ('data_quality_metrics', 10, ''),
+      ('data_versions', 10, ''), ('dim_customer', 11, ''), ('dim_date', 14, ''), ('dim_product', 12, ''),
+      ('dim_transaction_type', 3, ''), ('fact_sales', 16, 'dim_customer,dim_date,dim_product,data_versions'),
+      ('fact_sales_archive', 6, '')) t(table_name, n, parents) ON s.table_name = t.table_name
+    UNION ALL SELECT 'data_sources', 'CSV', count(*) FILTER (WHERE is_admitted),
+      '1: InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country' FROM judged
+    UNION ALL SELECT 'recent_runs', '{BATCH}', count(*) FILTER (WHERE reject_reason IS NULL), 'SUCCESS' FROM judged
+    UNION ALL SELECT 'storage_locations', name, 1, cut FROM (VALUES ('judged', 'verdict'), ('unresolved', ''), ('fact_sales', 'txn_year'),
+      ('dim_date', ''), ('dim_customer', ''), ('dim_product', ''), ('day_totals', ''), ('day_keys', ''), ('data_versions', ''),
+      ('data_lineage', ''), ('data_quality_metrics', ''), ('data_quality_alerts', '')) t(name, cut)
+    UNION ALL SELECT 'transformations', name, n, process || ': ' || columns || ' ' || mode FROM (VALUES
+      ('clean_invoice_no', 1, 'data_cleaning', 'InvoiceNo', 'ERROR'), ('clean_stock_code', 1, 'data_cleaning', 'StockCode', 'ERROR'),
+      ('clean_description', 1, 'data_cleaning', 'Description', 'ERROR'), ('clean_quantity', 1, 'data_cleaning', 'Quantity', 'ERROR'),
+      ('clean_unit_price', 1, 'data_cleaning', 'UnitPrice', 'ERROR'), ('clean_customer_id', 1, 'data_cleaning', 'CustomerID', 'ERROR'),
+      ('clean_country', 1, 'data_cleaning', 'Country', 'ERROR'), ('clean_date', 1, 'data_cleaning', 'InvoiceDate', 'ERROR'),
+      ('validate_required_fields_present', 3, 'validation', 'InvoiceNo,StockCode,CustomerID', 'ERROR'),
+      ('validate_invoice_format', 1, 'validation', 'InvoiceNo', 'ERROR'), ('validate_quantity_exists', 1, 'validation', 'Quantity', 'ERROR'),
+      ('validate_non_negative_price', 1, 'validation', 'UnitPrice', 'ERROR'), ('validate_date_range', 1, 'validation', 'InvoiceDate', 'ERROR'),
+      ('dim_customer', 2, 'dimension_creation', 'CustomerID,Country', 'SCD2'), ('dim_product', 2, 'dimension_creation', 'StockCode,Description', 'SCD1'),
+      ('dim_date', 1, 'dimension_creation', 'InvoiceDate', 'insert if absent'),
+      ('fact_sales', 4, 'fact_creation', 'date_key,customer_key,product_key,version_id', 'one row per accepted line')) t(name, n, process, columns, mode)""",
+    _SUITE_VIEWS,
+)
+def repository_export(spark, sf_dir):
+    """The exported repository read back: every document of it, by what it counts and what it lists."""
+    folder = new_folder(spark, "repository")
+    warehouse(spark, sf_dir).export_repository(folder, CHECKS)
+    parsed = {
+        "data_dictionary": ("row_count bigint, columns array<string>, relationships array<struct<parent_table string>>", "d.row_count",
+                            "concat(size(d.columns), ' columns, parents: ', coalesce(concat_ws(',', d.relationships.parent_table), ''))"),
+        "data_sources": ("loads bigint, records_processed bigint, columns array<string>", "d.records_processed",
+                         "concat(d.loads, ': ', concat_ws(',', d.columns))"),
+        "recent_runs": ("records_inserted bigint, status string", "d.records_inserted", "d.status"),
+        "storage_locations": ("folders bigint, bytes bigint, partitioned_by array<string>", "if(d.bytes > 0, d.folders, -1)",
+                              "concat_ws(',', d.partitioned_by)"),
+        "transformations": ("process string, columns array<string>, mode string", "size(d.columns)",
+                            "concat(d.process, ': ', concat_ws(',', d.columns), ' ', d.mode)"),
+    }
+    rows, whole = spark.read.schema("section string, name string, document string").json(folder), None
+    for section, (schema, amount, detail) in parsed.items():
+        part = rows.filter(F.col("section") == section).withColumn("d", F.from_json("document", schema))
+        part = part.select("section", "name", F.expr(amount).cast("bigint").alias("amount"), F.expr(detail).alias("detail"))
+        whole = part if whole is None else whole.unionByName(part)
+    return whole
+
+
 # ---- cleaning
 
 
@@ -1172,6 +1242,23 @@ def fact_build(spark, sf_dir):
     )
 
 
+@register(
+    "compacted_fact",
+    f"""
+    SELECT date_key, customer_id, stock_code, invoice_no, transaction_type, quantity, CAST(unit_price AS DOUBLE) AS unit_price,
+      CAST(line_total AS DOUBLE) AS line_total, CAST(transaction_datetime AS VARCHAR) AS transaction_datetime,
+      'part-' || {_PART} AS batch_id, CAST({_PART} AS BIGINT) AS version_id, txn_year FROM fact""",
+)
+def compacted_fact(spark, sf_dir):
+    """The sales of three loads after their folders were merged, with the members their keys stand for."""
+    house = warehouse_of_three(spark, sf_dir)
+    facts = house.fact_sales().join(house.dim_customer().select("customer_key", "customer_id"), "customer_key")
+    return facts.join(house.dim_product().select("product_key", "stock_code"), "product_key").select(
+        "date_key", "customer_id", "stock_code", "invoice_no", "transaction_type", "quantity", "unit_price",
+        "line_total", "transaction_datetime", "batch_id", "version_id", "txn_year",
+    )
+
+
 @register(
     "load_range",
     "SELECT CAST(min(transaction_datetime) AS VARCHAR) AS first_transaction,"
@@ -1615,6 +1702,66 @@ def load_metrics(spark, sf_dir):
     )
 
 
+_PARTS = {
+    "parts": f"SELECT part, count(*) FILTER (WHERE is_admitted) AS processed, count(*) FILTER (WHERE reject_reason IS NULL) AS inserted,"
+    f" count(*) FILTER (WHERE is_admitted AND reject_reason IS NOT NULL) AS rejected FROM (SELECT *, {_PART} AS part FROM judged) GROUP BY 1",
+}
+
+
+@register(
+    "recent_lineage_of_loads",
+    "SELECT 4 - part::BIGINT AS place, 'part-' || part AS batch_id, 'part-' || part || '.csv' AS source_file, 'fact_sales' AS target_table,"
+    " 'sales_import' AS etl_job_name, processed AS records_processed, inserted AS records_inserted, 'SUCCESS' AS status FROM parts",
+    _PARTS,
+)
+def recent_lineage_of_loads(spark, sf_dir):
+    """The latest runs of a log that three loads have written; when they ran is their own."""
+    runs = lineage.recent_runs(warehouse_of_three(spark, sf_dir).data_lineage())
+    place = F.row_number().over(Window.orderBy(F.desc("start_time")))
+    return runs.withColumn("place", place).drop("start_time", "end_time")
+
+
+@register(
+    "batch_lineage_of_loads",
+    "SELECT 'CSV' AS source_system, 'part-2.csv' AS source_file, 'fact_sales' AS target_table, processed AS records_processed,"
+    " inserted AS records_inserted, 0::BIGINT AS records_updated, 'SUCCESS' AS status, true AS is_timed FROM parts WHERE part = 2",
+    _PARTS,
+)
+def batch_lineage_of_loads(spark, sf_dir):
+    """The runs of one batch, from the same log."""
+    runs = lineage.runs_of_batch(warehouse_of_three(spark, sf_dir).data_lineage(), "part-2")
+    lasted = F.unix_timestamp(F.col("end_time").cast("timestamp")) - F.unix_timestamp(F.col("start_time").cast("timestamp"))
+    timed = runs.withColumn("is_timed", F.abs(lasted - F.col("duration_seconds")) <= 1)
+    return timed.drop("start_time", "end_time", "duration_seconds", "error_message")
+
+
+@register(
+    "load_metrics_of_loads",
+    "SELECT 'part-' || part AS batch_id, processed AS records_processed, inserted AS records_inserted, rejected AS records_rejected,"
+    " round(inserted * 100.0::DOUBLE / processed, 4) AS success_rate FROM parts",
+    _PARTS,
+)
+def load_metrics_of_loads(spark, sf_dir):
+    """Share of the lines of each load that arrived, from the same log."""
+    rates = lineage.load_metrics(F.col("records_processed"), F.col("records_inserted"))
+    runs = warehouse_of_three(spark, sf_dir).data_lineage().withColumns(rates)
+    return runs.select("batch_id", "records_processed", "records_inserted", "records_rejected", "success_rate")
+
+
+@register(
+    "versions_of_loads",
+    f"SELECT 'v{LOADED_AT[:10].replace('-', '')}_0' || part || '0000' AS version_number, inserted AS records_count, 'ACTIVE' AS status,"
+    f" '{LOADED_AT[:10]} 0' || part || ':00:00' AS created_at, inserted AS sales_rows FROM parts",
+    _PARTS,
+)
+def versions_of_loads(spark, sf_dir):
+    """The versions the same loads have made, with the sales rows that carry each."""
+    house = warehouse_of_three(spark, sf_dir)
+    ids = house.data_versions().select("version_number", "version_id")
+    held = lineage.rows_per_version(house.fact_sales()).withColumnRenamed("records_count", "sales_rows")
+    return lineage.versions_list(house.data_versions()).join(ids, "version_number").join(held, "version_id").drop("version_id")
+
+
 # A field stands behind its length, fields are joined by "|"; twelve hex digits per row, sixteen in all.
 _PRINTS = f"""
     SELECT version_id, substr(md5(count(*) || ':' || CAST(sum(h) AS VARCHAR)), 1, 16) AS file_hash,
@@ -1736,28 +1883,16 @@ def archive_sink(spark, sf_dir):
     )
 
 
-def _declared() -> str:
-    """The declared columns of all tables as rows of text, for the check of what is read back."""
-    quoted = lambda text: "'" + text.replace("'", "''") + "'"
-    return ", ".join(
-        f"({quoted(name)}, {quoted(catalog.TABLE_DESCRIPTIONS.get(name, f'Table: {name}'))}, {quoted(field.name)}, {place},"
-        f" {quoted(field.dataType.simpleString())}, true, {quoted(catalog.COLUMN_DESCRIPTIONS.get((name, field.name), f'Column: {field.name}'))})"
-        for name, schema in sorted(TABLES.items())
-        for place, field in enumerate(schema, start=1)
-    )
-
-
 @register(
     "column_catalog",
     "SELECT v.*, s.row_count AS rows, CASE WHEN s.row_count = 0 OR v.column_name IN ('source_file', 'error_message', 'expiry_date') THEN 0"
-    " ELSE s.row_count END AS non_null FROM (VALUES "
-    + _declared()
-    + ") v(table_name, table_description, column_name, ordinal_position, data_type, is_nullable, column_description)"
+    f" ELSE s.row_count END AS non_null FROM (VALUES {CATALOG_ROWS})"
+    " v(table_name, table_description, column_name, ordinal_position, data_type, is_nullable, column_default, column_description)"
     f" JOIN ({_SIZES}) s ON v.table_name = s.table_name",
     _SUITE_VIEWS,
 )
 def column_catalog(spark, sf_dir):
-    """Columns of all ten tables with their types and meaning, and how many values they hold."""
+    """Columns of all ten tables with their types, defaults and meaning, and how many values they hold."""
     tables = warehouse(spark, sf_dir).tables()
     described = catalog.column_catalog(spark, tables)
     return described.join(catalog.filled_columns(tables), ["table_name", "column_name"])

@@ -30,8 +30,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
+from tallyhouse.functions.rules import CLEANING_RULES, validation_rules
 from tallyhouse.operators import (
     analytics,
+    catalog,
     day_counts,
     dimensions,
     fact,
@@ -51,6 +53,23 @@ from tallyhouse.schemas import RAW_COLUMNS
 ACCEPTED = "accepted"
 UNRESOLVED = "unresolved_keys"
 
+#: All that a load writes for readers, and the columns it is cut into folders by.
+STORED = {
+    "judged": schemas.JUDGED,
+    "unresolved": schemas.JUDGED,
+    "fact_sales": schemas.FACT_SALES,
+    "dim_date": schemas.DIM_DATE,
+    "dim_customer": schemas.DIM_CUSTOMER,
+    "dim_product": schemas.DIM_PRODUCT,
+    "day_totals": day_counts.TOTALS_SCHEMA,
+    "day_keys": day_counts.KEYS_SCHEMA,
+    "data_versions": schemas.DATA_VERSIONS,
+    "data_lineage": schemas.DATA_LINEAGE,
+    "data_quality_metrics": schemas.DATA_QUALITY_METRICS,
+    "data_quality_alerts": schemas.DATA_QUALITY_ALERTS,
+}
+CUT_BY = {"judged": ["verdict"], "fact_sales": ["txn_year"]}
+
 
 class Warehouse:
     """A star schema below one folder that all executors can reach."""
@@ -173,6 +192,21 @@ class Warehouse:
         found["fact_sales_archive"] = self.fact_sales_archive()
         return dict(sorted(found.items()))
 
+    def storage(self) -> DataFrame:
+        """Where each table lies, how it is cut into folders, how many files and bytes its readers see."""
+        folders, rows = self._folders(), []
+        for name in STORED:
+            found = [self._content(self._place(name, f)) for f in folders]
+            rows.append((name, f"{self.root}/{name}", CUT_BY.get(name, []), len(folders), sum(c[0] for c in found), sum(c[1] for c in found)))
+        return self.spark.createDataFrame(
+            rows, "table_name string, location string, partitioned_by array<string>, folders int, files bigint, bytes bigint"
+        )
+
+    def export_repository(self, path: str, checks: verdict.Checks, recent: int = 5) -> None:
+        """Dictionary, sources, transformations, storage and latest runs as JSON lines, one document each."""
+        rules = [*CLEANING_RULES, *validation_rules(checks.as_of)]
+        catalog.repository(self.spark, self.tables(), self.data_lineage(), self.storage(), rules, recent).write.json(path)
+
     def archive(self, before: DataFrame, after: DataFrame, changed_at: str, changed_by: str) -> None:
         """Keep the old image of the sales rows that a correction updates or deletes."""
         changes = snapshots.change_archive(before, after, ["sales_key"])
@@ -423,8 +457,8 @@ class Warehouse:
             return []
         upto = finished[-1].load_no
         folder = f"{upto:08d}-{uuid.uuid4().hex}"
-        known = self._folder_tables(taken)
-        _at_once(*[partial(self._merge, df, self._place(n, folder)) for n, df in known.items()])
+        tables = self._folder_tables(taken)
+        _at_once(*[partial(self._merge, df, CUT_BY.get(n, []), self._place(n, folder)) for n, df in tables.items()])
         kept = folders[: len(folders) - len(taken)]
         if not self.merges.publish(before, upto, [*kept, folder], _now()):
             return []  # another merge was first; what this one wrote is never read
@@ -432,35 +466,24 @@ class Warehouse:
 
     def _folder_tables(self, folders: list[str]) -> dict[str, DataFrame]:
         """All that a load writes for readers."""
-        schemas_ = {
-            "unresolved": schemas.JUDGED,
-            "fact_sales": schemas.FACT_SALES,
-            "dim_date": schemas.DIM_DATE,
-            "dim_customer": schemas.DIM_CUSTOMER,
-            "day_totals": day_counts.TOTALS_SCHEMA,
-            "day_keys": day_counts.KEYS_SCHEMA,
-            "data_versions": schemas.DATA_VERSIONS,
-            "data_lineage": schemas.DATA_LINEAGE,
-            "data_quality_metrics": schemas.DATA_QUALITY_METRICS,
-            "data_quality_alerts": schemas.DATA_QUALITY_ALERTS,
-        }
-        found = {n: self._all(n, schema, folders) for n, schema in schemas_.items()}
+        found = {n: self._all(n, schema, folders) for n, schema in STORED.items()}
         found["dim_product"] = self._products(folders)
         found["judged"] = self.judged_by_load(folders).withColumnRenamed("load_id", "merged_from")
         return found
 
-    def _merge(self, df: DataFrame, path: str) -> None:
+    def _merge(self, df: DataFrame, by: list[str], path: str) -> None:
         """Files of Spark's advisory size; a hot year or verdict is cut into several."""
-        by = [n for n in ("txn_year", "verdict") if n in df.columns and "unresolved" not in path.split("/")[-2]]
         df.hint("rebalance", *[F.col(n) for n in by]).write.partitionBy(*by).parquet(path)
 
     def _bytes(self, folders: list[str]) -> list[int]:
         """Bytes of each folder's lines and sales."""
-        return [sum(self._length(self._place(t, f)) for t in ("judged", "fact_sales")) for f in folders]
+        return [sum(self._content(self._place(t, f))[1] for t in ("judged", "fact_sales")) for f in folders]
 
-    def _length(self, path: str) -> int:
+    def _content(self, path: str) -> tuple[int, int]:
+        """Files and bytes below a path, without their checksums."""
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(place).getLength()
+        found = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(place)
+        return found.getFileCount(), found.getLength()
 
     def remove_unread(self, before: datetime) -> list[str]:
         """Delete folders that no reader has seen since `before` (UTC); returns them.
@@ -475,7 +498,7 @@ class Warehouse:
             read |= {*state.folders, *(r.folder for r in finished if r.load_no > state.upto)}
         passing = ("landed", "line_starts", "dim_date_members", "dim_product_members", "dim_customer_members")
         gone = []
-        for table in (*passing, *self._folder_tables([])):
+        for table in (*passing, *STORED):
             keep = set() if table in passing else {f"load_id={f}" for f in read}
             gone += remove_older(self.spark, f"{self.root}/{table}", keep, before)
         return gone

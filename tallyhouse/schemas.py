@@ -132,3 +132,37 @@ TABLES = {
     "fact_sales": FACT_SALES,
     "fact_sales_archive": FACT_SALES_ARCHIVE,
 }
+
+# Columns that always hold a value, and what a column holds where a load gives none.
+REQUIRED = {
+    "data_lineage": (
+        "lineage_id", "source_system", "source_table", "target_table", "etl_job_name", "batch_id", "records_processed",
+        "records_inserted", "records_updated", "records_rejected", "start_time", "end_time", "duration_seconds", "status",
+    ),
+    "data_quality_alerts": (),
+    "data_quality_metrics": ("metric_id", "table_name", "metric_name", "metric_value", "batch_id", "measured_at"),
+    "data_versions": ("version_id", "version_number"),
+    "dim_customer": ("customer_key",),
+    "dim_date": ("date_key", "date_value"),
+    "dim_product": ("product_key",),
+    "dim_transaction_type": ("transaction_type", "effect_sign", "description"),
+    "fact_sales": (
+        "sales_key", "date_key", "customer_key", "product_key", "invoice_no", "transaction_type", "quantity", "unit_price",
+        "line_total", "transaction_datetime", "created_at", "data_source",
+    ),
+    "fact_sales_archive": ("sales_key", "operation", "changed_at", "payload"),
+}
+DEFAULTS = {
+    ("data_lineage", "records_rejected"): "0",
+    ("data_lineage", "created_at"): "load time",
+    ("data_quality_alerts", "alert_time"): "load time",
+    ("data_quality_metrics", "measured_at"): "load time",
+    ("data_versions", "version_type"): "INCREMENTAL",
+    ("data_versions", "created_at"): "load time",
+    ("dim_customer", "customer_key"): "next key",
+    ("dim_product", "product_key"): "next key",
+    ("dim_product", "is_active"): "true",
+    ("dim_product", "is_gift"): "false",
+    ("fact_sales", "sales_key"): "next key",
+    ("fact_sales_archive", "changed_at"): "load time",
+}

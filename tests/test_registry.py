@@ -19,7 +19,8 @@ CHOSEN = [
     "customer_scd2_history", "scd2_as_of", "fact_build", "sales_summary", "top_products",
     "customer_stats", "net_revenue_by_type", "quality_suite", "quality_anomalies", "archive_sink",
     "quality_trend_summary", "referential_integrity", "change_archive", "version_create",
-    "streaming_clean", "table_sizes",
+    "streaming_clean", "table_sizes", "compacted_fact", "recent_lineage_of_loads", "batch_lineage_of_loads",
+    "load_metrics_of_loads", "versions_of_loads", "repository_export", "column_catalog",
 ]
 
 
@@ -57,3 +58,8 @@ def test_entry(spark):
 
 def test_warehouse_is_loaded_once(spark):
     assert registry.warehouse(spark, SF_DIR) is registry.warehouse(spark, SF_DIR + "/")
+
+
+def test_columns_that_must_hold_a_value_do(spark):
+    found = registry.QUERIES["column_catalog"](spark, SF_DIR).filter("not is_nullable").collect()
+    assert len(found) == 45 and all(r.non_null == r.rows for r in found)
