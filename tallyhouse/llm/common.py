@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
@@ -47,10 +48,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def id_cuts(docs: DataFrame, buckets: int) -> np.ndarray:
-    """Upper ends of at most `buckets` ranges of doc_id with about equal counts; the last is the largest id.
+@dataclass(frozen=True)
+class Cuts:
+    """Upper ends of ranges of rows, ordered by doc_id, rows of one id downwards by their text's hash.
 
-    Reads the id column only. The driver gets one id per range, as Spark's own range partitioning does.
+    A range ends with all rows of an id. An id that fills ranges by itself ends several, each with a hash of its own.
+    """
+
+    ids: np.ndarray
+    hashes: np.ndarray
+    split: frozenset[int]
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+
+def id_cuts(docs: DataFrame, buckets: int) -> Cuts:
+    """Cuts for at most `buckets` ranges of about equal counts; the last is the largest id.
+
+    Reads the id column; texts only of ids that fill ranges by themselves, such as the missing one. Copies of one text
+    under one id stay together. The driver gets one cut per range, as Spark's own range partitioning does.
     """
     ids = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"))
     at = [i / buckets for i in range(1, buckets)]
@@ -58,23 +75,41 @@ def id_cuts(docs: DataFrame, buckets: int) -> np.ndarray:
         F.percentile_approx("doc_id", at or [0.5], F.lit(10_000)).alias("cuts"), F.max("doc_id").alias("last")
     ).first()
     if row is None or row["last"] is None:
-        return np.array([NO_ID], dtype=np.int64)
-    cuts = [c for c in (row["cuts"] or []) if c < row["last"]]
-    return np.unique(np.array([*cuts, row["last"]], dtype=np.int64))
-
-
-def bucket_of(cuts: np.ndarray, doc_id: Column) -> Column:
-    """Twice the number of the id's range, plus one if the id is the range's upper end."""
+        return Cuts(np.array([NO_ID], dtype=np.int64), np.zeros(1, np.int64), frozenset())
+    found, n = np.unique(np.array([*(row["cuts"] or []), row["last"]], dtype=np.int64), return_counts=True)
+    split = {int(i): int(k) for i, k in zip(found, n, strict=True) if k > 1}
+    cuts = [(int(i), 0) for i in found if int(i) not in split]
+    if split:
+        # The least hash of each of an id's parts is there, so that a row is known to be its part's upper end.
+        hashed = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("hash"))
+        parts = hashed.join(F.broadcast(docs.sparkSession.createDataFrame(list(split.items()), "doc_id long, parts int")), "doc_id")
+        part = F.floor((F.col("hash") / F.lit(2.0**64) + F.lit(0.5)) * F.col("parts"))
+        ends = parts.groupBy("doc_id", part.alias("part")).agg(F.min("hash").alias("hash"))
+        cuts += [(r.doc_id, r.hash) for r in ends.select("doc_id", "hash").collect()]
+    cuts.sort(key=lambda c: (c[0], -c[1]))
+    return Cuts(np.array([c[0] for c in cuts], np.int64), np.array([c[1] for c in cuts], np.int64), frozenset(split))
+
+
+def bucket_of(cuts: Cuts, doc_id: Column, text: Column) -> Column:
+    """Twice the number of the row's range, plus one if the row is at the range's upper end."""
 
     @F.pandas_udf(T.LongType())
-    def place(ids):
-        values = ids.to_numpy(dtype=np.int64)
-        spot = np.minimum(np.searchsorted(cuts, values), len(cuts) - 1)
+    def place(ids, hashes):
         import pandas as pd
 
-        return pd.Series(2 * spot + (cuts[spot] == values))
-
-    return place(F.coalesce(doc_id, F.lit(NO_ID)))
+        values, hashes = ids.to_numpy(dtype=np.int64), hashes.to_numpy(dtype=np.int64)
+        spot = np.minimum(np.searchsorted(cuts.ids, values), len(cuts) - 1)
+        upper = cuts.ids[spot] == values
+        for i in cuts.split:
+            rows = np.flatnonzero(values == i)
+            ends = cuts.hashes[cuts.ids == i][::-1]  # ascending
+            # The range that ends with the largest of the hashes that do not exceed the row's.
+            own = np.searchsorted(ends, hashes[rows], "right") - 1
+            spot[rows] += len(ends) - 1 - own
+            upper[rows] = ends[own] == hashes[rows]
+        return pd.Series(2 * spot + upper)
+
+    return place(F.coalesce(doc_id, F.lit(NO_ID)), F.xxhash64(text) if cuts.split else F.lit(0).cast("long"))
 
 
 def shuffle_width(spark: SparkSession) -> int:

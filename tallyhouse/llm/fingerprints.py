@@ -5,7 +5,9 @@ its position. Two texts that share a run of at least K + W - 1 characters share
 
 Missing text is an empty text; its fingerprint is empty, and two empty fingerprints are alike (1.0). A text shorter
 than K characters is one gram. Rows that share a doc_id follow each other by their text's hash; a missing doc_id is
-last in descending order. A single document is its own next document.
+last in descending order. Many rows of one id, or of none, are cut into ranges by that hash; only copies of one text
+under one id stay in one range. A single document is its own next document. A very long text is one row of one task,
+and takes some 40 bytes a character there. Columns other than doc_id and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ GUARANTEE = K + W - 1
 _BASE = 0x9E3779B97F4A7C15
 FIELDS = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string,"
-    " near_edited double, near_next double"
+    " near_edited double, near_next double, positions array<int>"
 )
 
 
@@ -96,7 +98,7 @@ def _as_text(hashes: np.ndarray) -> str:
 class _Row:
     def __init__(self, doc_id: int | None, text: str | None):
         self.doc_id, self.text = doc_id, text or ""
-        self.hashes = fingerprint(self.text)[1]
+        self.spots, self.hashes = fingerprint(self.text)
         self.set = np.unique(self.hashes)
 
 
@@ -112,12 +114,16 @@ def _compare(row: _Row, after: _Row) -> tuple:
         _as_text(hashes),
         likeness(row.set, np.unique(hashes)),
         likeness(row.set, after.set),
+        row.spots.astype(np.int32),
     )
 
 
 def compare_with_next(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and their likeness to it and to the next document.
 
+    `positions` are the code points at which the fingerprint's hashes begin, one for each eight of its digits: of any
+    GUARANTEE code points in a row, one hash lies in them whole.
+
     The edited text ends with the beginning of the next document, in descending order of doc_id; the first follows the
     last. Documents go to ranges of ids; the first document of a range goes to the range before it as well, so that
     each range is worked through by itself. One shuffle of the texts.
@@ -131,7 +137,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
         bucket, held, out = None, None, []
 
         def flush():
-            batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
+            kinds = [None] * (len(names) - 1) + [pa.list_(pa.int32())]
+            batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
             out.clear()
             return batch
 
@@ -154,7 +161,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     spot = F.shiftright("spot", 1)
     dealt = (
         docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
-        .withColumn("spot", bucket_of(cuts, F.col("doc_id")))
+        .withColumn("spot", bucket_of(cuts, F.col("doc_id"), F.col("text")))
         .select(
             F.explode(
                 F.when(

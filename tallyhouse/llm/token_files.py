@@ -6,7 +6,8 @@ reading what stands before it; then one (doc_id, ids) pair per document, then th
 the bits, as 64-bit integers.
 
 Missing text is an empty text: its document holds the end id only. Rows that share a doc_id each stand for themselves,
-ordered by the text's hash; a missing id sorts first. No documents: no files.
+downwards by the text's hash; a missing id sorts first. Many rows of one id, or of none, are cut into files by that hash.
+No documents: no files. A very long text is one row of one task. Columns other than doc_id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -141,10 +142,10 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -
 
     placed = (
         docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "text")
-        .withColumn("spot", bucket_of(cuts, F.col("doc_id")))
+        .withColumn("spot", bucket_of(cuts, F.col("doc_id"), F.col("text")))
         .select(F.shiftright("spot", 1).alias("bucket"), "doc_id", "text")
         .repartition(parts, "bucket")
-        .sortWithinPartitions("bucket", "doc_id", F.xxhash64("text"))
+        .sortWithinPartitions("bucket", "doc_id", F.desc(F.xxhash64("text")))
     )
     files = stored(placed.mapInArrow(write, "bucket long, path string, n_docs long, n_tokens long"), "manifest")
     # One row per file; the running sum orders files, not documents.

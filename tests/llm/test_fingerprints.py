@@ -5,6 +5,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import fingerprints as fp
+from tallyhouse.llm.common import bucket_of, id_cuts
 from tests.llm import cases
 
 
@@ -73,3 +74,39 @@ def test_repeated_ids_and_empty_tables(spark):
     assert fp.compare_with_next(cases.empty(spark)).count() == 0
     alone = fp.compare_with_next(spark.createDataFrame([(1, "all alone")], "doc_id long, text string")).first()
     assert (alone.near_next, alone.n_chars) == (1.0, 9)
+
+
+def test_positions_tell_where_the_hashes_begin(spark):
+    rows = dict(enumerate(cases.texts()))
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    for r in fp.compare_with_next(docs).collect():
+        spots, hashes = fp.fingerprint(rows[r.doc_id])
+        assert r.positions == spots.tolist()
+        kept = [int(r.fingerprint[i : i + 8], 16) for i in range(0, len(r.fingerprint), 8)]
+        grams = fp.gram_hashes(fp.codes_of(rows[r.doc_id]))
+        assert kept == grams[r.positions].tolist() if r.positions else not kept
+        # No stretch of the guaranteed length is without a hash that lies in it whole.
+        gaps = np.diff([-1, *r.positions, len(grams)]) if r.positions else []
+        assert all(g <= fp.W for g in gaps)
+
+
+def test_many_rows_without_an_id_are_split(spark):
+    """A third of all rows has no id, another third one id; both are cut, and every row has its next one."""
+    rows = [(None, f"{i} {cases.prose(i, 20)}") for i in range(300)]
+    rows += [(7, f"{i} {cases.prose(i, 21)}") for i in range(290)] + [(7, "copy")] * 10 + [(i, cases.prose(i, 22)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("h")).collect()
+    order = sorted(hashed, key=lambda r: (-(r.doc_id if r.doc_id is not None else fp.NO_ID), r.h))
+    expect = []
+    for i, r in enumerate(order):
+        half = len(r.text) // 2
+        edited = r.text[: len(r.text) - half] + order[(i + 1) % len(order)].text[:half]
+        expect.append((str(r.doc_id), len(r.text), hashlib.sha256(edited.encode()).hexdigest()))
+    found = [(str(r.doc_id), r.n_chars, r.edited_sha256) for r in fp.compare_with_next(docs).collect()]
+    assert sorted(found) == sorted(expect)
+    cuts = id_cuts(docs, 32)
+    assert cuts.split == {fp.NO_ID, 7}
+    spot = F.shiftright(bucket_of(cuts, F.col("doc_id"), F.col("text")), 1).alias("spot")
+    sizes = [r["count"] for r in docs.select(spot).groupBy("spot").count().collect()]
+    assert len(sizes) > 25 and max(sizes) < 80
+    assert id_cuts(docs.filter("doc_id > 7"), 8).split == frozenset()

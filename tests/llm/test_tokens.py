@@ -66,6 +66,23 @@ def test_files_of_repeated_and_no_rows(spark):
     assert write(cases.empty(spark)).count() == 0
 
 
+def test_many_rows_without_an_id_go_to_several_files(spark):
+    rows = [(None, f"{i} {cases.prose(i, 10)}") for i in range(300)] + [(i, cases.prose(i, 5)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    files = token_files.write_files(docs, tokenizer_path("word_bpe_49k.json"), 1, 49_408)
+    whole = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    given = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    given.sort(key=lambda r: (r.doc_id is not None, r.doc_id or 0, -r.h))
+    expect, start = [], 0
+    for r in given:
+        ids = np.array([*whole.encode(r.text, add_special_tokens=False).ids, 1], "<u4")
+        expect.append((start, str(r.doc_id), len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    found = token_files.read_files(files).collect()
+    assert sorted((r.start, str(r.doc_id), r.n_tokens, r.ids_crc32) for r in found) == expect
+    assert max(r.n_docs for r in files.collect()) < 120
+
+
 def check_packing(pieces, ids_of, window):
     by_doc, by_sequence = {}, {}
     for doc, start, length, sequence, offset in pieces:
