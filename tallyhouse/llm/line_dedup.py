@@ -1,13 +1,17 @@
 """Line dedup by winnowing over line hashes.
 
 Lines are compared without blanks at their ends; empty lines are passed over. Of each RUN consecutive lines the least
-line hash, the rightmost among equals, is a fingerprint: documents that share RUN lines share a fingerprint. Positions
-of fingerprints that occur twice are joined and extended to whole runs, and every line of a run that stands earlier,
-in a document with a smaller doc_id or further up, is deleted; neighbouring and overlapping runs are one. A line of at
-least LONG words is a run by itself. The first place of any line stays, so no line vanishes from the corpus.
+line hash, the rightmost among equals, is a fingerprint: documents that share RUN lines share a fingerprint. Only these
+minima travel, each once, with the line's place and a 128-bit hash for every way to extend it over its neighbours to a
+run of RUN lines of which it is the minimum. Places with a fingerprint that occurs twice are joined to the first place
+that extends alike, and every line of a run that stands earlier, in a document with a smaller doc_id or further up, is
+deleted; neighbouring and overlapping runs are one. A line of at least LONG words is a run by itself. The first place
+of any line stays, so no line vanishes from the corpus.
 
 Missing and empty texts stay as they are. A row without doc_id stays whole and counts as no place. Rows that share a
-doc_id are ordered by their text's hash; fully equal rows lose the same lines.
+doc_id are ordered by their text's hash; fully equal rows lose the same lines. A very long text is worked through in one
+task; columns other than doc_id and text are kept as they are, whatever their names
+(but `_lines` and `_removed`, which are added).
 """
 
 from __future__ import annotations
@@ -23,52 +27,67 @@ from tallyhouse.llm.common import mix, stored
 
 RUN, LONG = 2, 50
 _BLANK = " \t\r"
-WINDOWS = "doc_id long, row long, start int, lines int, fingerprint long, at int, content long"
+_HALF = 2**64 - 1
+POSITIONS = (
+    "doc_id long, row long, at int, fingerprint long,"
+    " runs array<struct<start:int,lines:int,content:long,proof:long>>"
+)
+
 
+def positions_of(text: str | None, run: int = RUN, long: int = LONG) -> list[tuple[int, int, list[tuple[int, int, int, int]]]]:
+    """(line, fingerprint, runs) of each selected line; a run is (first line, lines, 128 bits of hash in two halves).
 
-def runs_of(text: str | None, run: int = RUN, long: int = LONG) -> list[tuple[int, int, int, int, int]]:
-    """(first line, lines, fingerprint, its line, hash of the run) of each window of lines; empty lines do not count."""
+    Empty lines do not count. The runs of a minimum are the windows that select it.
+    """
     lines = [s for s in (x.strip(_BLANK) for x in (text or "").split("\n")) if s]
-    out = []
+    found: dict[tuple[int, int], list[tuple[int, int, int, int]]] = {}
     if len(lines) >= run:
-        h = np.array([xxhash.xxh3_64_intdigest(s.encode("utf-8", "surrogatepass")) for s in lines], np.uint64)
-        n = len(h) - run + 1
-        best, spot, content = h[:n].copy(), np.arange(n), np.full(n, np.uint64(run))
+        digests = [xxhash.xxh3_128_intdigest(s.encode("utf-8", "surrogatepass")) for s in lines]
+        low = np.array([d & _HALF for d in digests], np.uint64)
+        high = np.array([d >> 64 for d in digests], np.uint64)
+        n = len(low) - run + 1
+        best, spot = low[:n].copy(), np.arange(n)
+        content, proof = np.full(n, np.uint64(run)), np.full(n, np.uint64(run))
         for i in range(run):
-            here = h[i : i + n]
-            lower = here <= best
-            best, spot = np.where(lower, here, best), np.where(lower, np.arange(i, i + n), spot)
-            content = mix(content * np.uint64(0x9FB21C651E98DF25) + here)
-        out = list(
-            zip(range(n), [run] * n, best.view(np.int64).tolist(), spot.tolist(), content.view(np.int64).tolist(), strict=True)
-        )
+            lower = low[i : i + n] <= best
+            best, spot = np.where(lower, low[i : i + n], best), np.where(lower, np.arange(i, i + n), spot)
+            content = mix(content * np.uint64(0x9FB21C651E98DF25) + low[i : i + n])
+            proof = mix(proof * np.uint64(0xD6E8FEB86659FD93) + high[i : i + n])
+        signed = (x.view(np.int64).tolist() for x in (best, content, proof))
+        for start, (at, print_, c, p) in enumerate(zip(spot.tolist(), *signed, strict=True)):
+            found.setdefault((at, print_), []).append((start, run, c, p))
     for i, s in enumerate(lines):
         if len(s) >= 2 * long - 1 and len(s.split()) >= long:
-            h = xxhash.xxh3_64_intdigest(s.encode("utf-8", "surrogatepass"), seed=1)
-            h -= (h >> 63) << 64
-            out.append((i, 1, h, i, h))
-    return out
+            d = xxhash.xxh3_128_intdigest(s.encode("utf-8", "surrogatepass"), seed=1)
+            low_, high_ = (x - (x >> 63 << 64) for x in (d & _HALF, d >> 64))
+            found.setdefault((i, low_), []).append((i, 1, low_, high_))
+    return [(at, print_, runs) for (at, print_), runs in found.items()]
 
 
-def windows(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFrame:
-    """All windows of lines with their fingerprints, one row each; no texts."""
+def positions(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFrame:
+    """The selected lines of all documents with their places, one row each; no texts."""
+    names = ["doc_id", "row", "at", "fingerprint", "runs"]
+    parts = pa.struct([("start", pa.int32()), ("lines", pa.int32()), ("content", pa.int64()), ("proof", pa.int64())])
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
     def emit(batches):
         for batch in batches:
-            out = []
+            out, runs, ends = [], [], [0]
             for doc_id, row, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                out += [(doc_id, row, *w) for w in runs_of(text, run, long)]
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64()]
-            columns = list(zip(*out, strict=True)) or [()] * 7
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in WINDOWS.split(", ")]
-            )
+                for at, print_, around in positions_of(text, run, long):
+                    out.append((doc_id, row, at, print_))
+                    runs += around
+                    ends.append(len(runs))
+            columns = [pa.array(c, k) for c, k in zip(list(zip(*out, strict=True)) or [()] * 4, kinds, strict=True)]
+            fields = [pa.array(c, f.type) for c, f in zip(list(zip(*runs, strict=True)) or [()] * 4, parts, strict=True)]
+            around = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, fields=list(parts)))
+            yield pa.RecordBatch.from_arrays([*columns, around], names)
 
-    return docs.filter("doc_id is not null").select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(emit, WINDOWS)
+    return docs.filter("doc_id is not null").select("doc_id", F.xxhash64("text").alias("row"), "text").mapInArrow(emit, POSITIONS)
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """doc_id, row, spans: the windows that stand earlier, as (first line, lines)."""
+    """doc_id, row, spans: the runs that stand earlier, as (first line, lines)."""
     place = F.struct("doc_id", "row", "at")
     # Minimum and maximum combine before the shuffle, whatever share of the rows has one fingerprint.
     shared = (
@@ -79,10 +98,11 @@ def repeated(found: DataFrame) -> DataFrame:
     )
     # Both sides of each join come from tables, so that a line a third of all documents have is split between tasks.
     near = found.join(stored(shared, "shared-lines"), "fingerprint", "left_semi")
-    near = stored(near.select("doc_id", "row", "start", "lines", "content"), "near-lines")
-    first = near.groupBy("content").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count("*").alias("n"))
-    first = stored(first.filter("n > 1").select("content", "first"), "first-lines")
-    later = near.join(first, "content").filter(F.struct("doc_id", "row", "start") > F.col("first"))
+    # Extended both ways: every place with every run it is the minimum of.
+    near = stored(near.select("doc_id", "row", F.inline("runs")), "near-lines")
+    first = near.groupBy("content", "proof").agg(F.min(F.struct("doc_id", "row", "start")).alias("first"), F.count("*").alias("n"))
+    first = stored(first.filter("n > 1").select("content", "proof", "first"), "first-lines")
+    later = near.join(first, ["content", "proof"]).filter(F.struct("doc_id", "row", "start") > F.col("first"))
     return later.groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "lines")).alias("spans"))
 
 
@@ -114,7 +134,7 @@ def _full_lines(text: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, run: int = RUN, long: int = LONG) -> DataFrame:
     """The rows with all their columns, `text` without later runs, and `_lines`, `_removed`: full lines before, deleted."""
-    spans = repeated(stored(windows(docs, run, long), "line-windows"))
+    spans = repeated(stored(positions(docs, run, long), "line-places"))
     spans = spans.select(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("spans").alias("_spans"))
     matched = docs.join(spans, (docs["doc_id"] == spans["_id"]) & (F.xxhash64(docs["text"]) == spans["_row"]), "left")
     text = F.when(F.col("_spans").isNull(), docs["text"]).otherwise(_stripped(docs["text"], F.col("_spans")))

@@ -38,6 +38,22 @@ def test_lines_equal_the_plain_version(spark):
     assert {r.doc_id: r.text for r in out.collect()} == plain_lines(rows)
 
 
+@pytest.mark.parametrize("run", [2, 3, 5])
+def test_only_window_minima_are_places_and_each_window_is_one_run(run):
+    text = "\n".join(cases.prose(i % 7, 3) for i in range(40)) + "\n\n  \n" + cases.prose(1, 3)
+    found = line_dedup.positions_of(text, run)
+    lines = [x.strip(" \t\r") for x in text.split("\n") if x.strip(" \t\r")]
+    starts = sorted(s for _, _, runs in found for s, _, _, _ in runs)
+    assert starts == list(range(len(lines) - run + 1)) and len({at for at, _, _ in found}) == len(found) < len(lines)
+    prints, contents = {}, {}
+    for at, print_, runs in found:
+        assert prints.setdefault(lines[at], print_) == print_
+        for s, n, *hashes in runs:
+            assert s <= at < s + n == s + run
+            assert contents.setdefault(tuple(lines[s : s + n]), hashes) == hashes
+    assert len({tuple(h) for h in contents.values()}) == len(contents)
+
+
 @pytest.mark.parametrize("run", [3, 4])
 def test_longer_runs(spark, run):
     rows = [(1, "a\nb\nc\nd\ne"), (2, "b\nc\nd\nq\na\nb"), (3, "q\na\nb\nc\nd\ne\nf")]
