@@ -1,4 +1,4 @@
-"""What the column catalog must say, row by row, written apart from the declarations it is held against."""
+"""What the column catalog must say, row by row: printed once from the declarations, then read through; fixed since."""
 
 # Table, its meaning, column, place, type, may be null, default, meaning.
 CATALOG_ROWS = """
