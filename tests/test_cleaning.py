@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import cleaning, free_dates, validation
-from tallyhouse.functions.text import title_case
+from tallyhouse.functions.text import is_blank, strip, title_case
 
 
 def apply(spark, function, values):
@@ -183,3 +183,21 @@ def test_date_range_includes_both_ends(spark):
     cases = {"2009-01-01 00:00:00": True, "2008-12-31 23:59:59": False, "2016-08-02 23:59:59": True,
              "2016-08-03 00:00:00": False, None: False}
     check(spark, lambda c: validation.date_ok(c.cast("timestamp_ntz"), "2016-08-02"), cases)
+
+
+def test_white_space_is_found_at_either_end_and_texts_without_it_stay(spark):
+    texts = [None, "", " ", "a", "a b", " a", "a ", "\xa0a", "a　", "\x1fa\x85", "é", "é ", "\x7f", "~ ", "!", "日本", "日本 "]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = rows.select("i", strip(F.col("t")).alias("s"), is_blank(F.col("t")).alias("b")).collect()
+    assert {r.i: r.s for r in found} == {i: None if t is None else t.strip() for i, t in enumerate(texts)}
+    assert {r.i: r.b for r in found} == {i: not (t or "").strip() for i, t in enumerate(texts)}
+
+
+def test_only_short_countries_are_looked_up(spark):
+    texts = ["uk", " USA ", "Rsa", "uae", "ukraine", "usa east", "us", "t-land", "ＵＫ", "", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = {texts[r.i]: r.c for r in rows.select("i", cleaning.clean_country(F.col("t")).alias("c")).collect()}
+    assert found == {
+        "uk": "United Kingdom", " USA ": "United States", "Rsa": "South Africa", "uae": "United Arab Emirates", "ukraine": "Ukraine",
+        "usa east": "Usa East", "us": "Us", "t-land": "T-Land", "ＵＫ": "Ｕｋ", "": "Unknown", None: "Unknown",
+    }
