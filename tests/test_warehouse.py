@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import analytics, catalog, day_counts, quality
 from tallyhouse.operators.verdict import Checks
-from tallyhouse.operators.feed_state import FeedState, bucket_of
+from tallyhouse.operators.feed_state import FeedState, _positions, bucket_of
 from tallyhouse.plans.commits import CommitLog
 from tallyhouse.plans.warehouse import Warehouse, _tail, check_table
 from tallyhouse.schemas import RAW_COLUMNS
@@ -512,3 +512,10 @@ def test_a_merge_takes_the_small_folders_at_the_end():
 def test_merging_an_empty_warehouse(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path / "house"))
     assert house.compact() == [] and house.remove_unread(datetime(2100, 1, 1)) == []
+
+
+def test_every_position_of_a_filter_knows_how_many_its_invoice_has(spark):
+    """So that a hit needs no second pass over the invoices."""
+    rows = spark.createDataFrame([(str(540000 + i),) for i in range(50)], "invoice string")
+    found = _positions(rows, 64).groupBy("invoice").agg(F.count("*").alias("n"), F.max("wanted").alias("most"), F.min("wanted").alias("least"))
+    assert {(r.n, r.most, r.least) for r in found.collect()} <= {(4, 4, 4), (3, 3, 3)} and found.count() == 50
