@@ -519,3 +519,22 @@ def test_every_position_of_a_filter_knows_how_many_its_invoice_has(spark):
     rows = spark.createDataFrame([(str(540000 + i),) for i in range(50)], "invoice string")
     found = _positions(rows, 64).groupBy("invoice").agg(F.count("*").alias("n"), F.max("wanted").alias("most"), F.min("wanted").alias("least"))
     assert {(r.n, r.most, r.least) for r in found.collect()} <= {(4, 4, 4), (3, 3, 3)} and found.count() == 50
+
+
+def test_a_merge_shuffles_nothing(spark, tmp_path):
+    """Files are those of the scan tasks, and a year that is NULL is kept."""
+    house = Warehouse(spark, str(tmp_path / "house"))
+    rows = spark.range(4000).selectExpr("id AS k", "if(id % 2 = 0, 2011, NULL) AS txn_year")
+    for part in (0, 1):
+        rows.filter(f"k % 4 DIV 2 = {part}").coalesce(1).write.partitionBy("txn_year").parquet(str(tmp_path / f"in/part={part}"))
+    key = "spark.sql.files.maxPartitionBytes"
+    held = spark.conf.get(key)
+    spark.conf.set(key, "1k")
+    try:
+        found = spark.read.schema("k bigint, txn_year int").parquet(str(tmp_path / "in"))
+        house._merge(found.select("k", "txn_year"), ["txn_year"], str(tmp_path / "out"))
+    finally:
+        spark.conf.set(key, held)
+    merged = spark.read.schema("k bigint, txn_year int").parquet(str(tmp_path / "out"))
+    assert sorted(map(repr, merged.collect())) == sorted(map(repr, rows.collect()))
+    assert len([f for f in os.listdir(tmp_path / "out/txn_year=2011") if f.endswith(".parquet")]) > 1
