@@ -12,6 +12,8 @@ from tallyhouse.functions import rules
 from tallyhouse.operators import dimensions, duplicates, keys, lineage, missing, outliers, snapshots
 from tallyhouse.operators.carry import carry_last
 from tallyhouse.operators.quantiles import exact_quantiles
+from tallyhouse.sources.testdata import sales_view
+from tests.conftest import SF_DIR
 
 
 @pytest.mark.parametrize("backward", [False, True])
@@ -274,3 +276,26 @@ def test_own_rules(spark):
     assert [tuple(r) for r in checked] == [(None, []), ("digits", ["has_country"])]
     counts = {r.rule_name: (r.rows_applied, r.rows_changed) for r in rules.rule_counts(df, [shout, off]).collect()}
     assert counts == {"shout": (2, 1)}
+
+
+def test_orders_meet_their_customers_before_the_lines(spark):
+    """So that lines are shuffled once for both."""
+    view = sales_view(spark, SF_DIR)
+    plan = view._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = next(i for i, line in enumerate(plan) if "Join Inner" in line and "c_custkey" in line)
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    below = []
+    for line in plan[at + 1 :]:
+        if depth(line) <= depth(plan[at]):
+            break
+        below.append(line)
+    assert below and not any("l_orderkey" in line for line in below)
+
+
+def test_digests_tell_a_null_from_its_neighbour(spark):
+    """The hash of a row passes over NULL, so (NULL, x) and (x, NULL) would read alike."""
+    schema = "k int, a int, b int, version_id int"
+    old, new = (spark.createDataFrame([row], schema) for row in ((1, None, 5, 1), (1, 5, None, 1)))
+    assert [r.operation for r in snapshots.change_archive(old, new, ["k"]).collect()] == ["UPDATE"]
+    found = snapshots.digests(old.withColumns(snapshots.spots(["k"])), ["a", "b"])
+    assert "md5" not in found._jdf.queryExecution().toString()
