@@ -538,3 +538,17 @@ def test_a_merge_shuffles_nothing(spark, tmp_path):
     merged = spark.read.schema("k bigint, txn_year int").parquet(str(tmp_path / "out"))
     assert sorted(map(repr, merged.collect())) == sorted(map(repr, rows.collect()))
     assert len([f for f in os.listdir(tmp_path / "out/txn_year=2011") if f.endswith(".parquet")]) > 1
+
+
+def test_partitioned_writes_sort_nothing(spark, tmp_path):
+    """A task keeps a file open per year; sorting all it writes by a handful of years took most of its memory."""
+    spark.sql(f"CREATE TABLE by_year (n bigint, txn_year int) USING parquet PARTITIONED BY (txn_year) LOCATION '{tmp_path}/sales'")
+    try:
+        insert = "INSERT INTO by_year SELECT id, CASE WHEN id % 50 < 49 THEN CAST(1970 + id % 50 AS INT) END FROM range(0, 5000, 1, 2)"
+        plan = spark.sql(f"EXPLAIN {insert}").first()[0]
+        assert "WriteFiles" in plan and "Sort" not in plan
+        spark.sql(insert)  # more years than open files
+        rows = spark.table("by_year").groupBy("txn_year").count().collect()
+        assert len(rows) == 50 and {r["count"] for r in rows} == {100}
+    finally:
+        spark.sql("DROP TABLE by_year")
