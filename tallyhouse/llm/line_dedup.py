@@ -124,7 +124,8 @@ def _stripped(text: Column, spans: Column) -> Column:
     def strip(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([_strip(t, s) for t, s in zip(texts, spans, strict=True)], dtype=object)
 
-    return strip(text, spans)
+    # Else Spark would copy the call into filters on what it gives: two Python workers a task, and every text cut twice.
+    return strip.asNondeterministic()(text, spans)
 
 
 def _full_lines(text: Column) -> Column:

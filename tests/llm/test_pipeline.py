@@ -73,6 +73,14 @@ def test_copies_with_blank_lines_go(spark):
     assert [(r.doc_id, r.text) for r in left] == [(1, text)]
 
 
+def test_lines_are_cut_once(spark):
+    """A filter on the cut text does not cut it again, in a second Python worker per task."""
+    rows = [(1, "a b\nc d\ne f", "en", "src0", 11), (2, "a b\nc d\nx y", "en", "src0", 11), (3, "a b\nc d", "en", "src0", 7), (None, None, "en", "src0", 0)]
+    left = dict(corpus_pipeline.STAGES)["line dedup"](spark, spark.createDataFrame(rows, cases.SCHEMA), SF_DIR)
+    assert left._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert {(r.doc_id, r.text, r.n_chars) for r in left.collect()} == {(1, "a b\nc d\ne f", 11), (2, "x y", 3), (None, None, 0)}
+
+
 def test_near_copies_share_runs_of_five_words(spark):
     """Four scattered words of 200 leave five-word runs 0.81 alike, three-word runs 0.89; five words 0.77."""
     words = cases.prose(7, 200, 4000).split()
