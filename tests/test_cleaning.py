@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.functions import cleaning, free_dates, validation
+from tallyhouse.functions import cleaning, free_dates, text, validation
 from tallyhouse.functions.text import is_blank, strip, title_case
 
 
@@ -201,3 +201,16 @@ def test_only_short_countries_are_looked_up(spark):
         "uk": "United Kingdom", " USA ": "United States", "Rsa": "South Africa", "uae": "United Arab Emirates", "ukraine": "Ukraine",
         "usa east": "Usa East", "us": "Us", "t-land": "T-Land", "ＵＫ": "Ｕｋ", "": "Unknown", None: "Unknown",
     }
+
+
+def test_packed_texts_come_back_byte_for_byte(spark):
+    values = [None, "", "a", "\x1f", "\x1b", "\x1bn", "\x1bs", "x\x1fy", "\x1b\x1f", "é£ "]
+    for n in (1, 2, 3, 6):
+        names = [f"c{i}" for i in range(n)]
+        rows = [tuple(values[(i * 7 + j * j * 3 + i // 5) % len(values)] for j in range(n)) for i in range(50)]
+        df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names)).select("*", text.pack(names).alias("p"))
+        back = df.select(*[c.alias(f"b{i}") for i, c in enumerate(text.unpack("p", names).values())], *names).collect()
+        assert all(tuple(r[:n]) == tuple(r[n:]) for r in back)
+    torn = spark.range(1).select(F.unhex(F.lit("FFFE61")).cast("string").alias("a"), F.lit("b").alias("b"))
+    back = torn.select("a", text.pack(["a", "b"]).alias("p")).select(F.hex("a"), F.hex(text.unpack("p", ["a", "b"])["a"])).first()
+    assert back[0] == back[1] == "FFFE61"

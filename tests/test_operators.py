@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import rules
-from tallyhouse.operators import dimensions, duplicates, keys, lineage, missing, outliers, snapshots
+from tallyhouse.operators import day_counts, dimensions, duplicates, fact, keys, lineage, missing, outliers, snapshots
 from tallyhouse.operators.carry import carry_last
 from tallyhouse.operators.quantiles import exact_quantiles
 from tallyhouse.sources.testdata import sales_view
@@ -299,3 +299,36 @@ def test_digests_tell_a_null_from_its_neighbour(spark):
     assert [r.operation for r in snapshots.change_archive(old, new, ["k"]).collect()] == ["UPDATE"]
     found = snapshots.digests(old.withColumns(snapshots.spots(["k"])), ["a", "b"])
     assert "md5" not in found._jdf.queryExecution().toString()
+
+
+def test_the_sales_view_shuffles_no_more_than_texts_are_made_of(spark):
+    """Prices, taxes and ship dates end in a line's place and its price before the first join."""
+    top, *below = sales_view(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert "l_extendedprice" not in top and "l_shipdate" not in top
+    first = next(i for i, line in enumerate(below) if "l_extendedprice" in line)
+    assert not any("Join" in line and "l_orderkey" in line for line in below[first:])
+
+
+def test_the_bitmaps_of_days_are_made_where_whole_sets_are(spark):
+    """No task makes a bitmap of its own few keys, so none is sorted or shuffled."""
+    fact = spark.createDataFrame([("2020-01-01", 7, 9)], "t string, customer_key long, product_key long").withColumn("transaction_datetime", F.col("t").cast("timestamp_ntz"))
+    plan = day_counts.day_keys(fact, ("customer_key",))._jdf.queryExecution().executedPlan().toString().split("\n")
+    shuffled = [i for i, line in enumerate(plan) if "Exchange" in line]
+    made = [i for i, line in enumerate(plan) if "partial_bitmap_construct_agg" in line]
+    assert len(shuffled) == 1 and made and max(made) < shuffled[0]
+
+
+def test_sales_rows_are_shuffled_with_their_texts_packed(spark):
+    line = [("S1", "7", "2020-01-01 10:00:00", "SALE", None, "C\x1fV")]
+    lines = spark.createDataFrame(line, "stock_code string, customer_id string, t string, transaction_type string, batch_id string, data_source string")
+    lines = lines.withColumn("transaction_datetime", F.col("t").cast("timestamp_ntz")).withColumn("transaction_date", F.to_date("t"))
+    dates = spark.createDataFrame([(20200101, "2020-01-01")], "date_key int, d string").select("date_key", F.col("d").cast("date").alias("date_value"))
+    customers = spark.createDataFrame([(3, "7", True)], "customer_key long, customer_id string, is_current boolean")
+    products = spark.createDataFrame([(5, "S1")], "product_key long, stock_code string")
+    found = fact.resolve_keys(lines, dates, customers.hint("merge"), products.hint("merge"))
+    row = found.first()
+    assert (row.date_key, row.customer_key, row.product_key) == (20200101, 3, 5)
+    assert (row.transaction_type, row.batch_id, row.data_source) == ("SALE", None, "C\x1fV")
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    joins = [i for i, line in enumerate(plan) if "Join LeftOuter" in line]
+    assert len(joins) == 3 and "_day" in plan[joins[0]] and not any("batch_id" in line and "_texts" not in line for line in plan[joins[0] : joins[2]])
