@@ -19,6 +19,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from tallyhouse.functions.text import pack, unpack
 
 _CLOCK = "batch bigint, latest timestamp_ntz, keys_until timestamp_ntz"
 
@@ -86,9 +89,13 @@ class LateLedger:
             .when(F.col("_kept"), "kept")
             .otherwise("duplicate")
         )
-        rows.join(kept.select("_row", F.lit(True).alias("_kept")), "_row", "left").select(
-            *fields.names, outcome.alias("outcome")
-        ).write.mode("overwrite").partitionBy("outcome").parquet(self._at("lines", number))
+        texts = [f.name for f in fields if isinstance(f.dataType, StringType)]
+        others = [n for n in fields.names if n not in texts]
+        # Whole lines cross the network here, with their texts packed.
+        whole = rows.select("_row", *others, pack(texts).alias("_texts")) if texts else rows
+        whole = whole.join(kept.select("_row", F.lit(True).alias("_kept")), "_row", "left")
+        whole = whole.withColumns(unpack("_texts", texts)) if texts else whole
+        whole.select(*fields.names, outcome.alias("outcome")).write.mode("overwrite").partitionBy("outcome").parquet(self._at("lines", number))
         ends = rows.agg(F.max(self.event).cast("timestamp_ntz").alias("latest")).join(
             kept.agg(F.max("until").cast("timestamp_ntz").alias("keys_until"))
         )

@@ -552,3 +552,15 @@ def test_partitioned_writes_sort_nothing(spark, tmp_path):
         assert len(rows) == 50 and {r["count"] for r in rows} == {100}
     finally:
         spark.sql("DROP TABLE by_year")
+
+
+def test_late_lines_keep_their_texts_and_are_stored_tightly(spark, tmp_path):
+    rows = [("a", "2020-01-05", "x\x1fy", None, 1), ("a", "2020-01-05", None, "\x1bn", 2), ("b", None, "", "z", 3)]
+    lines = spark.createDataFrame(rows, "k string, t string, left string, right string, n int").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    lines.write.parquet(str(tmp_path / "inbox"))
+    ledger = lateness.LateLedger(str(tmp_path / "ledger"), "20 days", ["k"], ["n"], "t")
+    ledger.run(spark.readStream.schema(lines.schema).parquet(str(tmp_path / "inbox")))
+    found = {r.n: (r.k, r.left, r.right, r.outcome) for r in ledger.lines(spark, lines.schema).collect()}
+    assert found == {1: ("a", "x\x1fy", None, "kept"), 2: ("a", None, "\x1bn", "duplicate"), 3: ("b", "", "z", "undated")}
+    files = [f.name for f in (tmp_path / "ledger").rglob("*.parquet")]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
