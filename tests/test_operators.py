@@ -1,5 +1,6 @@
 """Operators on small frames against brute force."""
 
+import json
 import random
 import re
 from datetime import datetime, timedelta
@@ -332,3 +333,21 @@ def test_sales_rows_are_shuffled_with_their_texts_packed(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
     joins = [i for i, line in enumerate(plan) if "Join LeftOuter" in line]
     assert len(joins) == 3 and "_day" in plan[joins[0]] and not any("batch_id" in line and "_texts" not in line for line in plan[joins[0] : joins[2]])
+
+
+def test_old_images_cross_the_network_with_their_texts_packed(spark, tmp_path):
+    schema = "k int, a string, n int, b string, version_id int"
+    old = spark.createDataFrame([(1, "x\x1f", None, None, 1), (2, None, 5, "", 1), (3, "", 6, "é", 1), (4, "y", 7, "z", 1)], schema)
+    new = spark.createDataFrame([(1, "x\x1f", None, None, 1), (2, "", 5, None, 2), (4, "y", 8, "z", 2)], schema)
+    found = snapshots.change_archive(old, new, ["k"])
+    for name, rows in (("old", old), ("new", new)):
+        snapshots.write(rows, ["k"], str(tmp_path / name), 4)
+    stored = snapshots.stored_changes(spark, str(tmp_path / "old"), str(tmp_path / "new"), old.schema, ["k"])
+    for changes in (found, stored):
+        rows = {r.k: (r.operation, r.version_id, json.loads(r.payload)) for r in changes.collect()}
+        assert rows == {
+            2: ("UPDATE", 2, {"k": 2, "n": 5, "b": "", "version_id": 1}),
+            3: ("DELETE", 1, {"k": 3, "a": "", "n": 6, "b": "é", "version_id": 1}),
+            4: ("UPDATE", 2, {"k": 4, "a": "y", "n": 7, "b": "z", "version_id": 1}),
+        }
+    assert "_old_texts" in found._jdf.queryExecution().optimizedPlan().toString()
