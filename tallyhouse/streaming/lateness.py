@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from tallyhouse.functions.text import pack, unpack
+from tallyhouse.session import CODEC
 
 _CLOCK = "batch bigint, latest timestamp_ntz, keys_until timestamp_ntz"
 
@@ -56,7 +57,9 @@ class LateLedger:
     def place(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         fields = batch.schema
-        batch.withColumn("_row", F.monotonically_increasing_id()).write.mode("overwrite").parquet(self._at("landed", number))
+        batch.withColumn("_row", F.monotonically_increasing_id()).write.mode("overwrite").parquet(
+            self._at("landed", number), compression=CODEC
+        )
         rows = spark.read.schema(f"{_ddl(fields)}, _row bigint").parquet(self._at("landed", number))
         before = self._clock(spark).filter(F.col("batch") < number)
         watermark = before.agg((F.max("latest") - self.delay).alias("w")).first().w
@@ -80,7 +83,7 @@ class LateLedger:
             )
             same = [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(self.key)]
             first = first.join(known, same, "left_anti")
-        first.write.mode("overwrite").parquet(self._at("keys", number))
+        first.write.mode("overwrite").parquet(self._at("keys", number), compression=CODEC)
         kept = spark.read.schema(first.schema).parquet(self._at("keys", number))
 
         outcome = (
@@ -95,12 +98,14 @@ class LateLedger:
         whole = rows.select("_row", *others, pack(texts).alias("_texts")) if texts else rows
         whole = whole.join(kept.select("_row", F.lit(True).alias("_kept")), "_row", "left")
         whole = whole.withColumns(unpack("_texts", texts)) if texts else whole
-        whole.select(*fields.names, outcome.alias("outcome")).write.mode("overwrite").partitionBy("outcome").parquet(self._at("lines", number))
+        whole.select(*fields.names, outcome.alias("outcome")).write.mode("overwrite").partitionBy("outcome").parquet(
+            self._at("lines", number), compression=CODEC
+        )
         ends = rows.agg(F.max(self.event).cast("timestamp_ntz").alias("latest")).join(
             kept.agg(F.max("until").cast("timestamp_ntz").alias("keys_until"))
         )
         ends.select(F.lit(number).cast("bigint").alias("batch"), "*").write.mode("overwrite").parquet(
-            self._at("clock", number)
+            self._at("clock", number), compression=CODEC
         )
 
     def _clock(self, spark: SparkSession) -> DataFrame:
